@@ -142,7 +142,7 @@ def _one_pass(df: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Seq
         j: (Interval.parse(text), sorted({Partial(k, f.column) for f in frames if f.interval == text for k in PARTIALS[f.func]}))
         for text, j in roles.items()
     }
-    keys, key_columns = _null_safe_keys(df, partition_by)
+    keys, key_columns = null_safe_keys(df, partition_by)
     values = sorted({f.column for f in frames})
     # The row itself travels as one struct: sorts and window buffers then copy it as a block.
     packed = f"named_struct({', '.join(f"'{c}', `{c}`" for c in df.columns)}) AS __row"
@@ -170,7 +170,7 @@ def _one_pass(df: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Seq
     return parts.selectExpr("__row", *totals).selectExpr(*unpacked, *[value(f) for f in frames])
 
 
-def _null_safe_keys(df: DataFrame, partition_by: Sequence[str]) -> tuple[list[str], list[str]]:
+def null_safe_keys(df: DataFrame, partition_by: Sequence[str]) -> tuple[list[str], list[str]]:
     """Key columns that compare equal for NULL keys too, so that windows and joins share a shuffle."""
     types, columns = dict(df.dtypes), []
     for i, name in enumerate(partition_by):
