@@ -14,9 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.cleaning import round2, truncate_sql
+from gaugeworks.functions.cleaning import round2
 from gaugeworks.operators.frames import null_safe_keys
-from gaugeworks.operators.intervals import SLICE_SECONDS, Interval, slice_number_sql
+from gaugeworks.operators.intervals import Interval, slice_number_sql
 
 NO_TIME = -(2**62)  # stands for a NULL instant
 
@@ -61,53 +61,52 @@ def forward_mode(
     interval: str,
     name: str,
     partition_by: Sequence[str] = (),
-    slice_: str | None = None,
+    slices: int = 6,
 ) -> DataFrame:
     """``df`` with the mode of a numeric column as ``name``; NULLs do not count.
 
-    ``slice_`` is by default the next smaller unit that divides the interval.
+    A frame spans ``slices`` slices, months as many as they have days.  More slices mean more tasks and
+    more copies of the histograms.
     """
     span = Interval.parse(interval)
-    finer = [u for u in SLICE_SECONDS if span.divided_by(u) and (span.months or SLICE_SECONDS[u] < span.seconds)]
-    level = slice_ or (finer or ["second"])[-1]
-    if not span.divided_by(level):
-        raise ValueError(f"slice {level!r} does not divide {interval!r}")
+    if not span.months and (span.seconds % slices or 86400 % (span.seconds // slices)):
+        slices = span.slices("hour")[0] if span.divided_by("hour") else span.seconds
+    width = 86400 if span.months else span.seconds // slices
     at = f"CAST(`{ts}` AS TIMESTAMP_NTZ)"
-    micros = f"CAST((hour({at}) * 3600 + minute({at}) * 60 + extract(SECOND FROM {at})) * 1000000 AS BIGINT)"
-    width = SLICE_SECONDS[level] * 1_000_000
+    second = slice_number_sql("second", at)
+    start = f"CAST(CAST({at} AS DATE) AS TIMESTAMP_NTZ)"
     keys, key_columns = null_safe_keys(df, partition_by)
-    start = truncate_sql(level, at)
     rows = df.selectExpr(
         "*",
         *key_columns,
         f"CAST(`{column}` AS DOUBLE) AS __value",
-        f"{start} AS __start",
-        f"coalesce({slice_number_sql(level, at)}, {NO_TIME}) AS __slice",
-        f"coalesce({micros} % {width}, 0) AS __depth",
+        f"{start} AS __day",
+        f"coalesce(floor({second} / {width}), {NO_TIME}) AS __slice",
+        f"coalesce(pmod({second}, {width}) * 1000000 + CAST(extract(SECOND FROM {at}) * 1000000 AS BIGINT) % 1000000, 0) AS __depth",
     )
     where = [*keys, "__slice"]
     starts = rows.select(*where, "__depth").distinct()
-    instants = rows.where("__value IS NOT NULL").groupBy(*where, "__start", "__depth", "__value").agg(F.count("*").alias("n"))
-    slices = instants.groupBy(*where, "__start", "__value").agg(F.sum("n").alias("n"))
-    dated = "__start IS NOT NULL"
-    shortest, longest = span.slices(level)
-    earlier = f"transform(sequence(0, {longest - 1}), k -> __start - make_dt_interval(0, 0, 0, k * {SLICE_SECONDS[level]}))"
-    if shortest != longest:
-        earlier = f"filter({earlier}, s -> s + {span.sql} > __start)"
-    number = slice_number_sql(level, "__to")
+    instants = rows.where("__value IS NOT NULL").groupBy(*where, "__day", "__depth", "__value").agg(F.count("*").alias("n"))
+    slice_counts = instants.groupBy(*where, "__day", "__value").agg(F.sum("n").alias("n"))
+    dated = "__day IS NOT NULL"
+    if span.months:
+        days = f"transform(sequence(0, {span.slices('day')[1] - 1}), k -> __day - make_dt_interval(k))"
+        number = slice_number_sql("day", "s")
+        frames_over = f"transform(filter({days}, s -> s + {span.sql} > __day), s -> {number})"
+        frames_ending = f"transform({span.slices_ending_at('__day')}, s -> {number})"
+    else:
+        frames_over = f"sequence(__slice - {slices - 1}, __slice)"
+        frames_ending = f"array(__slice - {slices})"
     histogram = (
-        slices.where(dated)
-        .selectExpr(*keys, "__value", "n", f"explode({earlier}) AS __to")
-        .unionByName(slices.where(f"NOT {dated}").selectExpr(*keys, "__value", "n", "__start AS __to"))
-        .selectExpr(*keys, f"coalesce({number}, {NO_TIME}) AS __slice", "__value", "n")
+        slice_counts.withColumn("__slice", F.expr(f"explode(CASE WHEN {dated} THEN {frames_over} ELSE array(__slice) END)"))
         .groupBy(*where, "__value")
         .agg(F.sum("n").alias("n"))
         .selectExpr(*where, "-1L AS depth", f"{HISTOGRAM} AS step", "__value AS value", "n")
     )
     entering = (
         instants.where(dated)
-        .selectExpr(*keys, "__depth", "__value", "n", f"explode({span.slices_ending_at('__start')}) AS __to")
-        .selectExpr(*keys, f"{number} AS __slice", "__depth AS depth", f"{ENTER} AS step", "__value AS value", "n")
+        .withColumn("__slice", F.expr(f"explode({frames_ending})"))
+        .selectExpr(*where, "__depth AS depth", f"{ENTER} AS step", "__value AS value", "n")
     )
     asking = starts.selectExpr(*where, "__depth AS depth", f"{ASK} AS step", "CAST(NULL AS DOUBLE) AS value", "0L AS n")
     leaving = instants.selectExpr(*where, "__depth AS depth", f"{LEAVE} AS step", "__value AS value", "n")
