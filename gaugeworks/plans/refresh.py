@@ -4,20 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.operators.incremental import append_all, append_past_mark, delete_insert, full_refresh
+from gaugeworks.operators.incremental import append_all, append_past_mark, delete_insert, full_refresh, past_mark
 from gaugeworks.operators.marts import GRAIN_WORD, mart_from_bank
 from gaugeworks.plans import decimals, measurements, stations
 from gaugeworks.sources import tables
 
 
+def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Written once and read back: what several branches read is then parsed and shuffled only once."""
+    path = f"{root}/staged/{name}"
+    tables.overwrite(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def refresh_measurements(spark: SparkSession, documents: DataFrame, root: str, full: bool = False) -> None:
-    """M-5 and M-7 to M-10.  Incrementally, each table takes what lies past its own mark."""
-    measured = measurements.measurements(documents)
+    """M-5 and M-7 to M-10.  Incrementally, each table takes what lies past its own mark.
+
+    The mark is applied before the forward aggregates are computed, see ``append_past_mark``.
+    """
     bank_path = f"{root}/aggregated_measurements"
-    if full:
-        full_refresh(measurements.aggregated(measured), bank_path)
-    else:
-        append_past_mark(measured, bank_path, "measure_at", derive=measurements.aggregated)
+    target = None if full else tables.read(spark, bank_path)
+    new = _staged(past_mark(measurements.measurements(documents), target, "measure_at"), root, "measurements")
+    write = full_refresh if full else tables.append
+    write(measurements.aggregated(new), bank_path)
     bank = spark.read.parquet(bank_path)
     for grain, word in GRAIN_WORD.items():
         path = f"{root}/{word}_measurements"
@@ -34,10 +43,11 @@ def refresh_stations(
 
     The marts are replaced, unless ``append`` asks for the older way of adding everything again (Q-14).
     """
-    joined = stations.stations(
-        stations.rain_stations(rain), stations.weather_stations(weather), measurements.station_geo(snapshots)
-    )
-    full_refresh(joined, f"{root}/stations")
+    rain_gauges = _staged(stations.rain_stations(rain), root, "rain_stations")
+    weather_stations = _staged(stations.weather_stations(weather), root, "weather_stations")
+    geo = _staged(measurements.station_geo(snapshots), root, "station_geo")
+    registries = _staged(stations.registries(rain_gauges, weather_stations), root, "registries")
+    full_refresh(stations.with_geo(registries, geo), f"{root}/stations")
     table = spark.read.parquet(f"{root}/stations")
     write = append_all if append else full_refresh
     write(stations.existing_stations(table), f"{root}/existing_stations")

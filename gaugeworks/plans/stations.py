@@ -74,8 +74,13 @@ def registries(rain: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def stations(rain: DataFrame, weather: DataFrame, geo: DataFrame) -> DataFrame:
-    """M-6: all three registries.  The class comes from the id before the last join (Q-10)."""
-    return full_outer(registries(rain, weather), geo, "station_id").select(
+    """M-6: all three registries."""
+    return with_geo(registries(rain, weather), geo)
+
+
+def with_geo(joined: DataFrame, geo: DataFrame) -> DataFrame:
+    """Second join of M-6.  The station class comes from the id before this join (Q-10)."""
+    return full_outer(joined, geo, "station_id").select(
         first_present("l.station_id", "r.station_id").alias("station_id"),
         "l.original_station_id",
         "l.new_station_id",

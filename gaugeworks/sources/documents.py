@@ -14,9 +14,7 @@ GLOB_CHARACTERS = "*?[]{}\\"
 def scan_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``filename`` and the whole text of each file as ``value``."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(F.col("_metadata.file_path").alias("filename"), "value")
     )
 

@@ -15,6 +15,7 @@ from gaugeworks.operators.joins import full_outer, not_in
 from gaugeworks.operators.marts import mart, mart_from_bank
 from gaugeworks.operators.mode import forward_mode
 from gaugeworks.sources import documents, tables
+from gaugeworks.streaming.ingest import ingest_available
 
 INTERVALS = ["10 seconds", "90 minutes", "1 hour", "3 hours", "1 day", "1 week", "1 month", "2 months"]
 
@@ -169,3 +170,14 @@ def test_round2_is_decimal_rounding(spark):
     )
     wanted = F.expr("CAST(round(CAST(x AS DECIMAL(18, 6)), 2) AS DOUBLE)")
     assert values.where(round2("x") != wanted).isEmpty()
+
+
+def test_stream_takes_whole_documents_once(spark, tmp_path):
+    landing, raw, checkpoint = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    landing.mkdir()
+    for name in ("a.json", "b.json"):
+        (landing / name).write_text('{"a":\n 1}')
+        for _ in range(2):
+            ingest_available(spark, str(landing), raw, checkpoint)
+    rows = spark.read.parquet(raw).collect()
+    assert len(rows) == 2 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
