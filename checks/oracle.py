@@ -8,9 +8,9 @@ from gaugeworks.operators.marts import GRAIN_INTERVAL, GRAIN_WORD, mart_name
 
 ORACLE: dict[str, str] = {}
 
-PER_BATCH = "SELECT event_id // 500 AS batch, count(*) AS readings, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1"
+PER_BATCH = "SELECT event_id // 1000 AS batch, count(*) AS readings, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1"
 ORACLE["scan_documents"] = PER_BATCH
-ORACLE["unloaded_files"] = "SELECT DISTINCT event_id // 500 AS batch FROM events WHERE (event_id // 500) % 2 <> 0"
+ORACLE["unloaded_files"] = "SELECT DISTINCT event_id // 1000 AS batch FROM events WHERE (event_id // 1000) % 2 <> 0"
 # Each landing wrote its own document per batch.
 for _name in ("raw_load", "stream_ingest"):
     ORACLE[_name] = PER_BATCH

@@ -16,13 +16,14 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def land_documents(events: DataFrame, landing: str) -> None:
-    """Write one file per 500 event ids, each a single JSON document; ids are unique, so files are small."""
+    """Write one file per 1000 event ids, each a single JSON document; ids are unique, so files are small."""
     record = F.struct(F.col("event_id").cast("string").alias("StationId"), F.col("value").alias("Reading"))
     stations = F.struct(F.collect_list(record).alias("Station"))
-    documents = events.groupBy(F.expr("event_id div 500").alias("batch")).agg(
+    documents = events.groupBy(F.expr("event_id div 1000").alias("batch")).agg(
         F.to_json(F.struct(stations.alias("records"))).alias("value")
     )
-    documents.write.mode("append").partitionBy("batch").text(landing)
+    writers = events.sparkSession.sparkContext.defaultParallelism
+    documents.repartition(writers, "batch").write.mode("append").partitionBy("batch").text(landing)
 
 
 def batch_of(filename: str) -> F.Column:
