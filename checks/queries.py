@@ -84,7 +84,6 @@ def _event_documents(spark, sf_dir) -> DataFrame:
     one, two, three = (record.format(seq=i, reading=r) for i, r in enumerate(("value", "CAST(value AS STRING)", "value * 2")))
     records = f"named_struct('Station', array({one}, {two}), 'Other', array({three}), 'Empty', array(), 'Note', 'text')"
     document = f"to_json(named_struct('result', named_struct('fields', array(event_type)), 'records', {records}))"
-    # array() of no type is written as [], which to_json does for array<void>.
     return table(spark, sf_dir, "events").select(F.expr(document).alias("value"))
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import round2
-from gaugeworks.operators import incremental
+from gaugeworks.operators import frames, incremental
 from gaugeworks.operators.bank import window_bank
 from gaugeworks.operators.dedup import keep_first
 from gaugeworks.operators.frames import Frame, forward_frames
@@ -50,8 +50,8 @@ def brute_force(spark, df, intervals, column, keyed=True):
 @pytest.mark.parametrize("base", [None, "day", "hour", "minute"])
 @pytest.mark.parametrize("column", ["v", "k"])
 def test_forward_frames(spark, readings, base, column):
-    frames = [Frame(f"{f}|{i}", f, column, i) for i in INTERVALS for f in ("avg", "sum", "max")]
-    found = forward_frames(readings, frames, "ts", ["station"], base).collect()
+    wanted_frames = [Frame(f"{f}|{i}", f, column, i) for i in INTERVALS for f in ("avg", "sum", "max")]
+    found = forward_frames(readings, wanted_frames, "ts", ["station"], base).collect()
     wanted = brute_force(spark, readings, INTERVALS, column)
     assert len(found) == readings.count()
     for row in found:
@@ -60,9 +60,9 @@ def test_forward_frames(spark, readings, base, column):
 
 
 def test_forward_frames_without_key(spark, readings):
-    frames = [Frame(f"{f}|1 month", f, "v", "1 month") for f in ("avg", "sum", "max")]
+    wanted_frames = [Frame(f"{f}|1 month", f, "v", "1 month") for f in ("avg", "sum", "max")]
     wanted = brute_force(spark, readings, ["1 month"], "v", keyed=False)
-    for row in forward_frames(readings, frames, "ts", [], "hour").collect():
+    for row in forward_frames(readings, wanted_frames, "ts", [], "hour").collect():
         assert tuple(row[f"{f}|1 month"] for f in ("avg", "sum", "max")) == wanted["1 month", row.id][:3]
 
 
@@ -181,3 +181,14 @@ def test_stream_takes_whole_documents_once(spark, tmp_path):
             ingest_available(spark, str(landing), raw, checkpoint)
     rows = spark.read.parquet(raw).collect()
     assert len(rows) == 2 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
+
+
+def test_slice_follows_row_counts(spark, monkeypatch):
+    """A key with 300 of 400 rows in one hour gets slices of a minute when a task may sort 50 rows."""
+    rows = spark.range(400).selectExpr(
+        "CASE WHEN id % 4 > 0 THEN 'hot' ELSE concat('s', id) END AS station",
+        "TIMESTAMP_NTZ'2024-01-05 10:00:00' + make_dt_interval(0, 0, 0, id * 9) AS ts",
+    )
+    assert frames._fitting_slice(rows, "ts", ["station"]) == ("day", 300)
+    monkeypatch.setattr(frames, "ROWS_PER_SLICE", 50)
+    assert frames._fitting_slice(rows, "ts", ["station"]) == ("minute", 300)
