@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.pieces import SPACE_BYTES, PieceMemo, gather
 
-#: Pieces that go to the library in one string.
-GROUP = 500
+#: Pieces that go to the library in one string, and strings in one call.
+GROUP, AT_ONCE = 500, 20
 
 
 class LibraryEncoder:
@@ -40,7 +40,10 @@ class LibraryEncoder:
         texts = [b"".join([pieces[i] for i in g]).decode() for g in groups] + [pieces[i].decode() for i in alone]
         collecting = gc.isenabled()
         gc.disable()  # the library makes lists of millions of numbers, and no cycles
-        found = [np.array(e.ids, dtype="u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), AT_ONCE):  # the library's results are many times larger than the ids
+            encoded = self.library.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)
+            found += [np.array(e.ids, dtype="u4") for e in encoded]
         if collecting:
             gc.enable()
         sizes = np.zeros(len(pieces), "i8")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes handled at once (one longer text is handled alone), and the pieces a worker remembers.
-CHUNK_BYTES, KEPT = 4_000_000, 3_000_000
+CHUNK_BYTES, KEPT = 2_000_000, 2_000_000
 
 #: White space of Unicode, as UTF-8; the first group is single bytes.
 SPACE_BYTES = b"\t\n\x0b\x0c\r "

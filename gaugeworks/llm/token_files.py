@@ -4,7 +4,7 @@ An id is stored as its rank by frequency in the whole corpus, in one to four byt
 how many; four of them make a control byte, and control bytes stand apart from data bytes. Decoding looks
 control bytes up in a table of lengths and takes all data bytes of a block with numpy at once.
 
-Folder layout: `ranks` (rank, id) and `blocks/part=NNNNN` with rows of about a megabyte of documents in
+Folder layout: `ranks` (rank, id) and `blocks/part=NNNNN` with rows of about 256 kilobytes of documents in
 ascending doc_id; the parts follow each other in doc_id too.
 """
 
@@ -22,7 +22,7 @@ from gaugeworks.llm.pieces import gather
 from gaugeworks.llm.shared import saved
 
 #: Data bytes of a block, and documents of a part.
-BLOCK_BYTES, PART_DOCUMENTS = 1 << 20, 20_000
+BLOCK_BYTES, PART_DOCUMENTS = 1 << 18, 20_000
 
 #: Lengths of the four ids of each control byte, and the bits that a length keeps.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
