@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import bm25_packing, bpe_bitmap, token_files
+from gaugeworks.llm import (
+    bm25_packing,
+    bpe_bitmap,
+    cross_polytope,
+    language_id,
+    license_zstd,
+    line_dedup,
+    quality_forest,
+    simhash_tiles,
+    token_files,
+)
 from gaugeworks.llm.shared import shared_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from text and lang of rows that are not held out, and predicts every row from its text."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(documents.where(~held_out).select("text", "lang"))
+    found = documents.select("doc_id", held_out.alias("held_out"), language_id.predict(F.col("text"), model).alias("p"))
+    return found.select("doc_id", "held_out", "p.*")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as token files and returns what is read back from them."""
     documents = table(spark, sf_dir, "documents")
@@ -30,6 +49,47 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of each document go, their code points, and the MD5 of what stays (null text: null)."""
+    kept = line_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), spans_as="spans")
+    lost = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return kept.select("doc_id", F.size("spans").cast("bigint").alias("n_removed"), lost.alias("removed_chars"), F.md5("text").alias("kept_md5"))
+
+
+OP3_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS unit
+  FROM documents WHERE text IS NOT NULL
+), normal AS (
+  SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[\\x09-\\x0D ]+', ' ', 'g'), ' ') AS norm
+  FROM lines
+), ranked AS (
+  SELECT *, len(string_split(norm, ' ')) >= 5
+            AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
+  FROM normal
+)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars,
+       CASE WHEN d.text IS NULL THEN NULL ELSE md5(coalesce(kept, '')) END AS kept_md5
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+         CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+         string_agg(line, chr(10) ORDER BY unit) FILTER (NOT gone) AS kept
+  FROM ranked GROUP BY doc_id
+) r ON d.doc_id = r.doc_id
+"""
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, window=1024)
 
@@ -39,11 +99,28 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", coded.alias("coded")).select("doc_id", "coded.*")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality_forest.fit(documents, table(spark, sf_dir, "labels"))
+    return quality_forest.judge(documents.select("doc_id", "text"), model, "verdict").select("doc_id", "verdict.*")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each license found in a document."""
+    return license_zstd.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
+    "op3_line_dedup": op3_line_dedup,
+    "op5_simhash": op5_simhash,
+    "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
     "op8_bpe": op8_bpe,
+    "op9_quality": op9_quality,
+    "op10_licenses": op10_licenses,
 }
 
 #: SQL in DuckDB for the same rows.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
