@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.shared import saved
 
 #: Tables, axes probed in each, vectors of a block. Recall at these figures is in the README.
-TABLES, PROBES, BLOCK = 8, 16, 8192
+TABLES, PROBES, BLOCK = 12, 20, 8192
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
