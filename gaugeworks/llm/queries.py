@@ -18,6 +18,7 @@ from gaugeworks.llm import (
     line_dedup,
     quality_forest,
     simhash_tiles,
+    suffix_columns,
     token_files,
 )
 from gaugeworks.llm.shared import shared_folder
@@ -81,6 +82,19 @@ FROM documents d LEFT JOIN (
 """
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_columns.remove_repeated_strings(documents, length=200)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    return found.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -114,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_token_files": op2_token_files,
     "op3_line_dedup": op3_line_dedup,
+    "op4_repeated_strings": op4_repeated_strings,
     "op5_simhash": op5_simhash,
     "op6_nearest": op6_nearest,
     "op7_packing": op7_packing,
