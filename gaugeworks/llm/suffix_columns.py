@@ -29,8 +29,8 @@ from gaugeworks.llm.shared import fresh, saved
 
 #: Bytes of a repeated string; anchor lengths, each for what is too much for the one before.
 LENGTH, ANCHORS = 200, (80, 160, 192, 200)
-#: Most different segments of an anchor in one task, and segments of a task.
-MOST_VARIANTS, COLLECTION = 2000, 1000
+#: Most different segments of an anchor in one collection, segments of a collection, collections of a task.
+MOST_VARIANTS, COLLECTION, TOGETHER = 2000, 350, 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _powers = {1: np.ones(1, "u8"), -1: np.ones(1, "u8")}
@@ -112,8 +112,8 @@ def repeated_in_collection(texts: list[bytes], length: int = LENGTH) -> list[np.
         more = symbols[j - 1, active] > 0
         at, active = at[more], active[more]
         order = np.argsort(before, kind="stable")
-        rank = np.empty(len(before), "i8")
-        rank[order] = np.arange(len(before))
+        rank = np.empty(len(before), "i4")
+        rank[order] = np.arange(len(before), dtype="i4")
         ended = int(np.count_nonzero(before == 0))
         new = n + rank[at] - ended
         old = np.ones(len(before) + len(at), bool)
@@ -225,7 +225,8 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["s1", "s2", "low", "high"])
 
     place = F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin")
-    marks = copies.union(collected.select(place, "s1", "s2", "times", "data").groupBy("bin").applyInArrow(sort, "s1 bigint, s2 bigint, low int, high int"))
+    dealt = collected.select(place, "s1", "s2", "times", "data").repartition(-(-bins // TOGETHER), "bin")
+    marks = copies.union(dealt.groupBy("bin").applyInArrow(sort, "s1 bigint, s2 bigint, low int, high int"))
     if level < len(ANCHORS) - 1:
         crowded = mixed.where(F.col("variants") > MOST_VARIANTS)
         if not crowded.isEmpty():
