@@ -26,7 +26,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 8, 20, 30
 #: Trees, rows that each is grown on, and labelled rows they are drawn from (a bound of the fit).
 TREES, ROWS_PER_TREE, FIT_ROWS = 200, 256, 4096
-#: Most labelled good rows, of a thousand, that the threshold may reject.
+#: Most labelled good rows, of a thousand, that the threshold may reject, one row beside.
 GOOD_LOST = 3
 #: A feature is split on if good and bad rows of the fit differ so much in it (Kolmogorov-Smirnov distance).
 LEAST_GAP = 0.15
@@ -181,7 +181,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> QualityModel:
     Labelled rows are those of `documents` whose doc_id has one quality in `labels` (0 or 1); ids with
     several or null labels are left out. The forest is drawn from at most FIT_ROWS of them that pass the base
     rules, those whose hashed ids come first; it splits on features in which their labels differ. The threshold rejects the most bad rows less good ones among those that reject at
-    most GOOD_LOST of a thousand good rows, over all labelled rows. Without rows of either kind nothing more is rejected.
+    most GOOD_LOST of a thousand good rows and one more, over all labelled rows. Without rows of either kind nothing more is rejected.
     """
     judged = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     judged = judged.where("quality = most").select("doc_id", "quality")
@@ -203,7 +203,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> QualityModel:
     for row in bins:
         (good if row.quality == 1 else bad)[round(row.score * 1000)] += row["count"]
     lost, caught = good[::-1].cumsum()[::-1], bad[::-1].cumsum()[::-1]
-    allowed = np.flatnonzero(lost * 1000 <= GOOD_LOST * good.sum())
+    allowed = np.flatnonzero(lost * 1000 <= GOOD_LOST * good.sum() + 1000)
     gain = caught[allowed] / max(1, bad.sum()) - lost[allowed] / good.sum()
     best = allowed[len(gain) - 1 - int(np.argmax(gain[::-1]))]
     return QualityModel(forest, (int(best) - 0.5) / 1000)
