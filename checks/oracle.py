@@ -12,7 +12,7 @@ PER_BATCH = "SELECT event_id // 1000 AS batch, count(*) AS readings, CAST(sum(ev
 ORACLE["scan_documents"] = PER_BATCH
 ORACLE["unloaded_files"] = "SELECT DISTINCT event_id // 1000 AS batch FROM events WHERE (event_id // 1000) % 2 <> 0"
 # Each landing wrote its own document per batch.
-for _name in ("raw_load", "stream_ingest"):
+for _name in ("raw_load", "stream_ingest", "raw_load_after_stream"):
     ORACLE[_name] = PER_BATCH
 
 ORACLE["flatten_two_level"] = " UNION ALL ".join(
@@ -130,8 +130,8 @@ for _name in ("incremental_append", "incremental_append_floor"):
         OR ts > (SELECT max(ts) FROM events WHERE {LOADED} AND event_type <> 'error')"""
 ORACLE["incremental_append_all"] = f"{EVENTS} UNION ALL {EVENTS}"
 ORACLE["full_refresh"] = EVENTS
-ORACLE["materialize_table"] = f"{EVENTS} WHERE event_type <> 'error'"
-ORACLE["delete_insert"] = """WITH pending AS (SELECT o_custkey AS key, max(o_totalprice) AS balance FROM orders
-        WHERE o_orderstatus = 'P' GROUP BY 1)
+ORACLE["materialize_table"] = EVENTS
+ORACLE["append_without_marker"] = EVENTS
+ORACLE["delete_insert"] = """WITH pending AS (SELECT o_custkey AS key, max(o_totalprice) AS balance FROM orders GROUP BY 1)
     SELECT c_custkey AS key, c_acctbal AS balance FROM customer WHERE c_custkey NOT IN (SELECT key FROM pending)
     UNION ALL SELECT * FROM pending"""

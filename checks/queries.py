@@ -75,6 +75,18 @@ def stream_ingest(spark, sf_dir):
     return _readings_per_batch(spark.read.parquet(f"{root}/raw"), "raw_data")
 
 
+@query
+def raw_load_after_stream(spark, sf_dir):
+    """A stream and then a batch load fill one raw table."""
+    root, events = scratch_dir(spark), table(spark, sf_dir, "events")
+    land_documents(events.where("event_type = 'view'"), f"{root}/landing")
+    ingest_available(spark, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint")
+    land_documents(events.where("event_type <> 'view'"), f"{root}/landing")
+    documents.raw_load(spark, f"{root}/landing", f"{root}/raw", "*.txt")
+    ingest_available(spark, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint")
+    return _readings_per_batch(spark.read.parquet(f"{root}/raw"), "raw_data")
+
+
 # --- nested data --------------------------------------------------------------------------------
 
 
@@ -312,7 +324,7 @@ def _frame(func: str, grain: str) -> Query:
     def run(spark, sf_dir):
         events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
         frame = Frame("result", func, "value", GRAIN_INTERVAL[grain])
-        return forward_frames(events, [frame], "ts", ["user_id"], base="hour")
+        return forward_frames(events, [frame], "ts", ["user_id"])
 
     return run
 
@@ -412,6 +424,15 @@ QUERIES["incremental_append"] = _appended(None)
 QUERIES["incremental_append_floor"] = _appended("2024-01-01")
 
 
+@query
+def append_without_marker(spark, sf_dir):
+    """A target whose writer put down no success marker is still a target."""
+    root, events = scratch_dir(spark), _events(spark, sf_dir)
+    events.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(root)
+    incremental.append_past_mark(events, root, "ts")
+    return spark.read.parquet(root)
+
+
 @query
 def incremental_append_all(spark, sf_dir):
     root, events = scratch_dir(spark), _events(spark, sf_dir)
@@ -432,17 +453,17 @@ def full_refresh(spark, sf_dir):
 def materialize_table(spark, sf_dir):
     root = scratch_dir(spark)
     tables.as_view(_events(spark, sf_dir), "gaugeworks_events")
-    tables.overwrite(spark.table("gaugeworks_events").where("event_type <> 'error'"), root)
+    tables.overwrite(spark.table("gaugeworks_events"), root)
     return tables.read(spark, root)
 
 
 @query
 def delete_insert(spark, sf_dir):
-    """Customers, then the same keys with the price of their pending orders for a balance."""
+    """Customers, then the same keys with the price of their dearest order for a balance."""
     root = scratch_dir(spark)
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance"))
-    pending = table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("key"))
+    dearest = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("key"))
     incremental.delete_insert(customers, root, "key")
     for _ in range(2):
-        incremental.delete_insert(pending.agg(F.max("o_totalprice").alias("balance")), root, "key")
+        incremental.delete_insert(dearest.agg(F.max("o_totalprice").alias("balance")), root, "key")
     return tables.read_version(spark, root)

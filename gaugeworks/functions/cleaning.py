@@ -79,14 +79,11 @@ def truncate(grain: str, column: str) -> Column:
     return F.expr(truncate_sql(grain, f"`{column}`"))
 
 
-def round2(column: str) -> Column:
-    """R-53 for a named column: two decimals, half away from zero, settled on the sixth decimal first.
+#: R-53 for an operand that is named twice: two decimals, half away from zero, settled on the sixth decimal
+#: first.  What no decimal can hold (NaN, infinities, from 1e32 up) stays as it is.
+ROUND2 = "coalesce(CAST(round(TRY_CAST({x} AS DECIMAL(38, 6)), 2) AS DOUBLE), {x})"
 
-    Same result as ``CAST(ROUND(CAST(x AS DECIMAL(18,6)), 2) AS DOUBLE)``, but in long arithmetic,
-    which needs no BigDecimal per value.  Values from 1e9 up, where a double has few digits left
-    behind the point, use ``round``.
-    """
-    c = f"CAST(`{column}` AS DOUBLE)"
-    hundredths = f"floor((floor(abs({c}) * 1e6 + 0.5D) + 5000) / 10000D)"
-    # + 0 turns -0.0 into 0.0
-    return F.expr(f"CASE WHEN abs({c}) < 1e9 THEN signum({c}) * {hundredths} / 100D + 0D ELSE round({c}, 2) END")
+
+def round2(column: str) -> Column:
+    """R-53 for a named column."""
+    return F.expr(ROUND2.format(x=f"CAST(`{column}` AS DOUBLE)"))

@@ -11,14 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The rounding rule of ``cleaning.round2``, written out for an operand that is named once.
-ROUND2_OF = "CAST(round(CAST({x} AS DECIMAL(18, 6)), 2) AS DOUBLE)"
+from gaugeworks.functions.cleaning import ROUND2
 
 
 def _over(call: str, ts: str, interval: str, partition_by: Sequence[str] | None) -> Column:
     parts = "PARTITION BY " + ", ".join(f"`{p}`" for p in partition_by) if partition_by else ""
     frame = f"RANGE BETWEEN CURRENT ROW AND INTERVAL {interval} FOLLOWING"
-    return F.expr(ROUND2_OF.format(x=f"{call} OVER ({parts} ORDER BY `{ts}` {frame})"))
+    return F.expr(ROUND2.format(x=f"CAST({call} OVER ({parts} ORDER BY `{ts}` {frame}) AS DOUBLE)"))
 
 
 def average_over(column: str, ts: str, interval: str, partition_by: Sequence[str] = ("station_id",)) -> Column:

@@ -30,8 +30,7 @@ from gaugeworks.operators.intervals import SLICE_SECONDS, Interval, slice_number
 
 OWN = 0  # role of a row in its own slice; role j > 0 closes the frames of interval j
 LEVELS = ("second", "minute", "hour", "day")
-ROWS_PER_SLICE = 1_000_000
-ROWS_PER_KEY = 1_000
+WIDEST = "day"
 NULL_STAND_IN = {"string": "''", "boolean": "false", "date": "'1970-01-01'", "timestamp": "'1970-01-01'", "timestamp_ntz": "'1970-01-01'"}
 
 
@@ -89,53 +88,27 @@ def forward_frames(
 ) -> DataFrame:
     """``df`` with one column per frame.
 
-    ``base`` is the widest slice allowed: day, hour, minute or second; each interval uses the widest
-    allowed slice that divides it.  Left out, row counts per key and slice are taken first: the widest
-    slice is the one whose fullest has no more than ``ROWS_PER_SLICE`` rows.  If moreover no key has
-    more than ``ROWS_PER_KEY`` rows, plain sliding windows serve all intervals of fixed length.  (Not
-    months: a sliding frame cannot shrink at its far end, as it must after 31 January.)
+    ``base`` is the widest slice allowed: day (if left out), hour, minute or second; each interval uses the widest
+    allowed slice that divides it, and a task sorts the rows of a key in a slice.  It is the caller's
+    choice and not taken from the data.  A zoned ``ts`` counts by its wall clock in the session's zone.
+    Nothing runs before an action.
     """
-    fullest_key = None
-    if base is None:
-        base, fullest_key = _fitting_slice(df, ts, partition_by)
-    allowed = LEVELS[: LEVELS.index(base) + 1]
+    allowed = LEVELS[: LEVELS.index(base or WIDEST) + 1]
     columns, types = df.columns, dict(df.dtypes)
     other = {f.column for f in frames if types[f.column] != "double"}
     framed = df.selectExpr("*", *[f"CAST(`{c}` AS DOUBLE) AS `__double_{c}`" for c in sorted(other)])
     by_slice: dict[str, list[Frame]] = {}
-    sliding = []
     for f in frames:
         interval = Interval.parse(f.interval)
         if f.column in other:
             f = replace(f, column=f"__double_{f.column}")
-        if fullest_key is not None and fullest_key <= ROWS_PER_KEY and not interval.months:
-            sliding.append(f)
-        else:
-            by_slice.setdefault(next(u for u in reversed(allowed) if interval.divided_by(u)), []).append(f)
+        by_slice.setdefault(next(u for u in reversed(allowed) if interval.divided_by(u)), []).append(f)
     for slice_, some in by_slice.items():
         framed = _one_pass(framed, some, ts, partition_by, slice_)
-    if sliding:
-        named = [f"`{k}`" for k in partition_by]
-        end = "RANGE BETWEEN CURRENT ROW AND {} FOLLOWING"
-        over = {f.interval: _over(named, f"`{ts}`", end.format(Interval.parse(f.interval).sql)) for f in sliding}
-        framed = framed.selectExpr("*", *[f"{f.func}(`{f.column}`) {over[f.interval]} AS `{f.name}`" for f in sliding])
     values = [round2(f.name).alias(f.name) if rounded else F.col(f"`{f.name}`") for f in frames]
     return framed.select(*[f"`{c}`" for c in columns], *values)
 
 
-def _fitting_slice(df: DataFrame, ts: str, partition_by: Sequence[str]) -> tuple[str, int]:
-    """The widest slice that a single task can sort, and the rows of the fullest key."""
-    fullest_key = 0
-    for level in reversed(LEVELS[1:]):
-        start = F.expr(truncate_sql(level, f"`{ts}`")).alias("__slice")
-        sizes = df.groupBy(*partition_by, start).agg(F.count("*").alias("__rows"))
-        per_key = sizes.groupBy(*partition_by).agg(F.sum("__rows").alias("__all"), F.max("__rows").alias("__most"))
-        most, fullest_key = per_key.agg(F.max("__most"), F.max("__all")).first()
-        if (most or 0) <= ROWS_PER_SLICE:
-            return level, fullest_key or 0
-    return LEVELS[0], fullest_key
-
-
 def _one_pass(df: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Sequence[str], base: str) -> DataFrame:
     roles = {text: j for j, text in enumerate(dict.fromkeys(f.interval for f in frames), start=1)}
     by_role = {

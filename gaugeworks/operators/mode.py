@@ -34,22 +34,29 @@ def _sweep(group: list[str]):
 
         current, counts, best = None, {}, []
         for batch in batches:
-            kept, modes = [], []
+            kept, modes, nans = [], [], []
             of = list(zip(*[batch[g].tolist() for g in group]))
             columns = (batch[c].tolist() for c in ("step", "value", "n"))
             for i, (slice_, step, value, n) in enumerate(zip(of, *columns)):
                 if slice_ != current:
                     current, counts, best = slice_, {}, []
                 if step == ask:
-                    while best and (-best[0][0] != counts[best[0][1]] or not counts[best[0][1]]):
+                    while best and -best[0][0] != counts.get(best[0][1]):
                         heapq.heappop(best)  # outdated entry
                     kept.append(i)
-                    modes.append(best[0][1] if best else None)
+                    modes.append(best[0][1][1] if best else None)
+                    nans.append(bool(best) and best[0][1][0])
                 else:
-                    counts[value] = counts.get(value, 0) + (-n if step == leave else n)
-                    heapq.heappush(best, (-counts[value], value))
+                    key = (True, 0.0) if value != value else (False, value)  # one NaN, after all numbers
+                    count = counts.pop(key, 0) + (-n if step == leave else n)
+                    if count:
+                        counts[key] = count
+                        heapq.heappush(best, (-count, key))
+                    if len(best) > 2 * len(counts) + 64:
+                        best = [(-m, k) for k, m in counts.items()]
+                        heapq.heapify(best)
             out = batch.iloc[kept][[*group, "depth"]]
-            yield out.assign(mode=pd.Series(modes, index=out.index, dtype="float64"))
+            yield out.assign(mode=pd.Series(modes, index=out.index, dtype="float64"), nan=pd.Series(nans, index=out.index, dtype="bool"))
 
     return answers
 
@@ -112,9 +119,10 @@ def forward_mode(
     leaving = instants.selectExpr(*where, "__depth AS depth", f"{LEAVE} AS step", "__value AS value", "n")
     together = histogram.unionByName(entering).unionByName(asking).unionByName(leaving)
     key_types = dict(rows.dtypes)
-    schema = ", ".join([*[f"{k} {key_types[k]}" for k in keys], "__slice bigint", "depth bigint", "mode double"])
+    schema = ", ".join([*[f"{k} {key_types[k]}" for k in keys], "__slice bigint", "depth bigint", "mode double", "nan boolean"])
     found = (
         together.repartition(*where).sortWithinPartitions(*where, "depth", "step").mapInPandas(_sweep(where), schema)
     )
+    found = found.withColumn("mode", F.when(F.col("nan"), F.lit(float("nan"))).otherwise(F.col("mode"))).drop("nan")
     joined = rows.join(found.withColumnRenamed("depth", "__depth"), [*where, "__depth"], "left")
     return joined.select(*[f"`{c}`" for c in df.columns], round2("mode").alias(name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import classify_station, na_tag_to_null, negative_to_null, parse_timestamp
 from gaugeworks.operators.bank import window_bank
@@ -65,7 +66,7 @@ def measurements(documents: DataFrame, column: str = "value", lenient: bool = Fa
         "measure_at",
     )
     keys = ["station_id", "measure_at"]
-    return keep_first(cleaned, keys, [c for c in cleaned.columns if c not in keys])
+    return keep_first(cleaned, keys, [F.col(c).asc_nulls_last() for c in cleaned.columns if c not in keys])  # a reading before none
 
 
 def station_geo(documents: DataFrame, column: str = "value") -> DataFrame:

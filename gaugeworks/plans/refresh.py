@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeworks.operators.incremental import append_all, append_past_mark, delete_insert, full_refresh, past_mark
@@ -12,8 +14,8 @@ from gaugeworks.sources import tables
 
 def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
     """Written once and read back: what several branches read is then parsed and shuffled only once."""
-    path = f"{root}/staged/{name}"
-    tables.overwrite(df, path)
+    path = f"{root}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

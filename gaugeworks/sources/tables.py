@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -10,12 +12,30 @@ def _filesystem(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jvm_path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write is there: the marker is put down when a job commits."""
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether the marker is there that a job puts down when it commits."""
     fs, root = _filesystem(spark, path)
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the target has data, with or without a marker.
+
+    A folder that a stream's own sink wrote is refused: its log hides files that others append.
+    """
+    fs, root = _filesystem(spark, path)
+    if not fs.exists(root):
+        return False
+    if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(root, "_spark_metadata")):
+        raise ValueError(f"{path} belongs to a stream's file sink; append to a table of another path")
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        name = files.next().getPath().toString()
+        if name.endswith(".parquet") and "/_temporary/" not in name:
+            return True
+    return False
+
+
 def read(spark: SparkSession, path: str) -> DataFrame | None:
     """The existing target, or None on the first run (Q-17)."""
     return spark.read.parquet(path) if exists(spark, path) else None
@@ -26,8 +46,14 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def overwrite(df: DataFrame, path: str) -> None:
-    """Replace a target that ``df`` does not read."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a target.  The new one is written beside it and takes its place when complete."""
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    fs, old = _filesystem(df.sparkSession, path)
+    _, new = _filesystem(df.sparkSession, beside)
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{beside} could not be moved to {path}")
 
 
 def as_view(df: DataFrame, name: str) -> None:
@@ -41,7 +67,7 @@ def versions(spark: SparkSession, root: str) -> list[int]:
         return []
     found = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
     numbers = sorted(int(name[1:]) for name in found if name.startswith("v") and name[1:].isdigit())
-    return [n for n in numbers if exists(spark, f"{root}/v{n}")]
+    return [n for n in numbers if finished(spark, f"{root}/v{n}")]
 
 
 def read_version(spark: SparkSession, root: str) -> DataFrame | None:

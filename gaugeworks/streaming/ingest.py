@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeworks.sources import tables
+
+ANY_AGE = "36500d"  # else files much older than the newest one seen are passed over
+
 
 def ingest_available(
     spark: SparkSession,
@@ -15,21 +19,24 @@ def ingest_available(
 ) -> None:
     """Append every document that arrived since the last call, then stop.
 
-    The checkpoint remembers which files were taken; the sink commits a batch as a whole, so a run
-    that is repeated after a failure neither loses nor doubles a document.
+    The checkpoint remembers which files were taken, whatever their age.  Batches are appended to a plain
+    raw table, the one that ``raw_load`` writes too; names it already has are left out, so a batch that is
+    repeated after a failure neither loses nor doubles a document.
     """
     documents = (
         spark.readStream.format("text")
         .option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxFileAge", ANY_AGE)
         .load(landing)
         .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("raw_data"))
     )
-    query = (
-        documents.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(raw_path)
-    )
+
+    def take(batch: DataFrame, _: int) -> None:
+        loaded = tables.read(batch.sparkSession, raw_path)
+        new = batch if loaded is None else batch.join(loaded.select("filename").distinct(), "filename", "left_anti")
+        tables.append(new, raw_path)
+
+    query = documents.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -1,13 +1,14 @@
 """Operators against brute force on small data."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import round2
-from gaugeworks.operators import frames, incremental
+from gaugeworks.operators import incremental
 from gaugeworks.operators.bank import window_bank
 from gaugeworks.operators.dedup import keep_first
 from gaugeworks.operators.frames import Frame, forward_frames
@@ -127,8 +128,9 @@ def test_plans(spark, readings):
     hourly = plan(forward_frames(readings, [Frame("s", "sum", "v", "1 hour")], "ts", ["station"], "hour"))
     assert hourly.count("Exchange hashpartitioning") == 1
     assert "WindowGroupLimit" in plan(keep_first(readings, ["station", "ts"], ["id"]))
-    joined = plan(full_outer(readings, readings.select("station", "k"), "station"))
-    assert "FullOuter" not in joined
+    two = full_outer(readings, readings.select("station", "k"), "station").select("l.station", "r.k")
+    joined = plan(full_outer(two, readings.select("station", "v"), "station"))
+    assert joined.count("Join ") <= 4  # one for each link
     assert "BroadcastNestedLoopJoin" not in plan(not_in(readings, "station", readings, "station"))
 
 
@@ -168,6 +170,8 @@ def test_round2_is_decimal_rounding(spark):
     values = spark.range(200_000).select(((F.col("id") - 100_000) / 1000.0).alias("x")).union(
         spark.range(100_000).select(((F.rand(3) - 0.5) * F.pow(F.lit(10.0), F.col("id") % 9)).alias("x"))
     )
+    ties = spark.range(200_000).select((F.concat(F.col("id") % 1000, F.lit("."), F.lpad(F.col("id") % 100, 2, "0"), F.lit("49995"))).cast("double").alias("x"))
+    values = values.union(ties)
     wanted = F.expr("CAST(round(CAST(x AS DECIMAL(18, 6)), 2) AS DOUBLE)")
     assert values.where(round2("x") != wanted).isEmpty()
 
@@ -175,20 +179,54 @@ def test_round2_is_decimal_rounding(spark):
 def test_stream_takes_whole_documents_once(spark, tmp_path):
     landing, raw, checkpoint = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
     landing.mkdir()
-    for name in ("a.json", "b.json"):
+    for name in ("a.json", "b.json", "old.json"):
         (landing / name).write_text('{"a":\n 1}')
+        if name == "old.json":
+            os.utime(landing / name, (1.6e9, 1.6e9))
         for _ in range(2):
             ingest_available(spark, str(landing), raw, checkpoint)
     rows = spark.read.parquet(raw).collect()
-    assert len(rows) == 2 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
+    assert len(rows) == 3 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
 
 
-def test_slice_follows_row_counts(spark, monkeypatch):
-    """A key with 300 of 400 rows in one hour gets slices of a minute when a task may sort 50 rows."""
-    rows = spark.range(400).selectExpr(
-        "CASE WHEN id % 4 > 0 THEN 'hot' ELSE concat('s', id) END AS station",
-        "TIMESTAMP_NTZ'2024-01-05 10:00:00' + make_dt_interval(0, 0, 0, id * 9) AS ts",
-    )
-    assert frames._fitting_slice(rows, "ts", ["station"]) == ("day", 300)
-    monkeypatch.setattr(frames, "ROWS_PER_SLICE", 50)
-    assert frames._fitting_slice(rows, "ts", ["station"]) == ("minute", 300)
+def test_frames_start_no_job_and_agree_for_every_base(spark):
+    """Wall clock of a zoned column, also where the clock goes back."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.sql("SELECT 1 AS station, timestamp_seconds(1699075800 + 4500 * id + 31536000 - 86400 * 2 + 86400) AS ts, 1.0D AS v FROM range(2)")
+        spark.sparkContext.setJobGroup("frames", "building")
+        built = [forward_frames(rows, [Frame("s", "sum", "v", "1 hour")], "ts", ["station"], base) for base in ("day", "hour", "minute")]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("frames")
+        assert len({str(sorted(r.s for r in b.collect())) for b in built}) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_mode_with_nan_null_and_ties(spark):
+    at = lambda h: dt.datetime(2024, 1, 5, h)
+    nan = float("nan")
+    given = [(at(0), nan), (at(0), nan), (at(2), 1.0), (at(2), 1.0), (at(2), nan), (at(3), None), (at(4), 2.0), (at(4), nan)]
+    rows = spark.createDataFrame(given, "ts timestamp_ntz, v double")
+    found = {r.ts.hour: r.m for r in forward_mode(rows, "v", "ts", "1 hour", "m").collect()}
+    assert str(found[0]) == "nan" and found[2] == 1.0 and found[3] == 2.0 and found[4] == 2.0
+
+
+def test_target_without_marker_and_stream_sinks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "k int, ts timestamp_ntz")
+    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    incremental.append_past_mark(rows, path, "ts")
+    assert spark.read.parquet(path).count() == 1
+    (tmp_path / "t" / "_spark_metadata").mkdir()
+    with pytest.raises(ValueError, match="stream"):
+        tables.read(spark, path)
+
+
+def test_failing_refresh_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1,), (2,)], "k int")
+    incremental.full_refresh(old, path)
+    with pytest.raises(Exception, match="lost"):
+        incremental.full_refresh(old.select(F.raise_error(F.lit("lost")).cast("int").alias("k")), path)
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]

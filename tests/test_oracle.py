@@ -34,7 +34,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query(spark, duck, name):
     found = contract.queries()[name](spark, SF_DIR)
     wanted = duck.execute(contract.oracle_sql()[name])
@@ -44,4 +44,4 @@ def test_query(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLE.keys()
