@@ -185,12 +185,9 @@ def fit(documents: DataFrame, labels: DataFrame) -> QualityModel:
     """
     judged = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     judged = judged.where("quality = most").select("doc_id", "quality")
-    texts = documents.where("doc_id IS NOT NULL").select("doc_id", "text").join(judged, "doc_id")
-    rows = saved(
-        texts.select(F.xxhash64("doc_id").alias("place"), row_key(F.col("text")).alias("key"), "quality", rule_statistics(F.col("text")).alias("s"))
-        .select("place", "key", "quality", "s.*"),
-        "labelled",
-    )
+    texts = documents.where("doc_id IS NOT NULL")
+    counted = texts.select("doc_id", row_key(F.col("text")).alias("key"), rule_statistics(F.col("text")).alias("s")).select("doc_id", "key", "s.*")
+    rows = saved(counted.join(judged, "doc_id").withColumn("place", F.xxhash64("doc_id")), "labelled")  # no text is shuffled
     passed = rows.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     sample = passed.orderBy("place", "key").limit(FIT_ROWS).select("features", "quality").collect()
     if not sample or passed.agg(F.countDistinct("quality")).first()[0] < 2:
