@@ -46,11 +46,11 @@ def _power(sign: int, n: int) -> np.ndarray:
     return _powers[sign][:n]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, anchor: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, count, hash) of the runs of strings that share an anchor, in texts that lie one after another."""
+def anchors(data: np.ndarray, offsets: np.ndarray, anchor: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, count, hash, place of the anchor) of the runs of strings that share an anchor, in texts one after another."""
     n, window = len(data), length - anchor + 1
     if n < length:
-        return np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8")
+        return np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8"), np.zeros(0, "i4")
     sums = np.zeros(n + 1, "u8")
     np.cumsum((data.astype("u8") + np.uint64(1)) * _power(-1, n), out=sums[1:])
     mixed = (sums[anchor:] - sums[: n - anchor + 1]) * _power(1, n - anchor + 1)
@@ -72,7 +72,30 @@ def anchors(data: np.ndarray, offsets: np.ndarray, anchor: int, length: int) ->
     starts = np.flatnonzero(opens)
     closes = whole.copy()
     closes[:-1] &= (where[1:] != where[:-1]) | ~whole[1:] | opens[1:]
-    return starts, np.flatnonzero(closes) - starts + 1, mixed[where[starts]]
+    return starts, np.flatnonzero(closes) - starts + 1, mixed[where[starts]], where[starts]
+
+
+def may_share(segments: list[bytes], anchor: int, length: int) -> np.ndarray:
+    """Which segments can have a string of `length` bytes in common with another one; no others need sorting.
+
+    Equal strings hold their anchor at one place, so of the bytes beside it half or more lie on its left or on
+    its right: segments that share a string agree in that half next to the anchor, on one side at least.
+    """
+    offsets = np.cumsum([0, *map(len, segments)])
+    starts, _, _, places = anchors(np.frombuffer(b"".join(segments), "u1"), offsets, anchor, length)
+    first = np.searchsorted(starts, offsets[:-1])  # a segment begins with a string, so with a run
+    half = (length - anchor + 1) // 2
+    groups: dict[tuple[int, bytes], list[int]] = {}
+    for i, (segment, at) in enumerate(zip(segments, (places[first] - offsets[:-1]).tolist(), strict=True)):
+        if at >= half:
+            groups.setdefault((0, segment[at - half : at + anchor]), []).append(i)
+        if at + anchor + half <= len(segment):
+            groups.setdefault((1, segment[at : at + anchor + half]), []).append(i)
+    shared = np.zeros(len(segments), bool)
+    for group in groups.values():
+        if len(group) > 1:
+            shared[group] = True
+    return shared
 
 
 class _File:
@@ -169,7 +192,7 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
             data = np.frombuffer(column.buffers()[2] or b"", "u1")
             for first, last in chunks(ends):
                 offsets = ends[first : last + 1] - ends[first]
-                starts, counts, keys = anchors(data[ends[first] : ends[last]], offsets, anchor, length)
+                starts, counts, keys, _ = anchors(data[ends[first] : ends[last]], offsets, anchor, length)
                 text = np.searchsorted(offsets, starts, side="right") - 1
                 which = pa.array(first + text)
                 columns = [a.take(which), b.take(which), pa.array((starts - offsets[text]).astype("i4")), pa.array(counts.astype("i4")), pa.array(keys.view("i8"))]
@@ -213,6 +236,8 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     bins = max(1, -(-collected.count() // COLLECTION))
 
     def sort(table: pa.Table) -> pa.Table:
+        data = table.column("data").to_pylist()
+        table = table.filter(pa.array(may_share(data, anchor, length)))
         flags = repeated_in_collection(table.column("data").to_pylist(), length)
         rows = [
             (s1, s2, low, high)
