@@ -39,9 +39,10 @@ GEO_TEXT_PATHS = {
 }
 
 
-def station_records(documents: DataFrame, column: str = "value") -> DataFrame:
-    """One VARIANT ``record`` per station in each document; feeds M-1 and M-2."""
-    return flatten_two_level(parse_documents(documents.select(column), column), "doc", "records", "record").select("record")
+def station_records(documents: DataFrame, column: str = "value", lenient: bool = False) -> DataFrame:
+    """One VARIANT ``record`` per station in each document; feeds M-1 and M-2.  ``lenient`` passes over malformed documents."""
+    docs = parse_documents(documents.select(column), column, lenient=lenient)
+    return flatten_two_level(docs, "doc", "records", "record").select("record")
 
 
 def measurements(documents: DataFrame, column: str = "value", lenient: bool = False) -> DataFrame:
@@ -50,7 +51,7 @@ def measurements(documents: DataFrame, column: str = "value", lenient: bool = Fa
     Which of several conflicting readings stays is settled by their values, the least first, so a rerun
     gives the same rows.
     """
-    records = station_records(documents, column).select(
+    records = station_records(documents, column, lenient).select(
         field("record", "StationId").alias("station_id"),
         *[field("record", p, "double", lenient).alias(c) for c, p in NUMERIC_PATHS.items()],
         field("record", "StationName").alias("station_name"),
@@ -69,11 +70,11 @@ def measurements(documents: DataFrame, column: str = "value", lenient: bool = Fa
     return keep_first(cleaned, keys, [F.col(c).asc_nulls_last() for c in cleaned.columns if c not in keys])  # a reading before none
 
 
-def station_geo(documents: DataFrame, column: str = "value") -> DataFrame:
+def station_geo(documents: DataFrame, column: str = "value", lenient: bool = False) -> DataFrame:
     """M-2: distinct station descriptions; a station whose description changed has several (Q-12)."""
-    described = station_records(documents, column).select(
+    described = station_records(documents, column, lenient).select(
         field("record", "StationId").alias("station_id"),
-        *[field("record", p, "double").alias(c) for c, p in GEO_NUMERIC_PATHS.items()],
+        *[field("record", p, "double", lenient).alias(c) for c, p in GEO_NUMERIC_PATHS.items()],
         *[field("record", p).alias(c) for c, p in GEO_TEXT_PATHS.items()],
     )
     return distinct_rows(described.withColumn("station_type", classify_station("station_id")))

@@ -14,24 +14,24 @@ EXISTING = "現存測站"
 REVOKED = "已撤銷"
 
 
-def rain_stations(documents: DataFrame, column: str = "value") -> DataFrame:
+def rain_stations(documents: DataFrame, column: str = "value", lenient: bool = False) -> DataFrame:
     """M-3: rain-gauge registry, from the array under ``Data``."""
-    rows = flatten(parse_documents(documents.select(column), column), "doc", "Data", "s")
+    rows = flatten(parse_documents(documents.select(column), column, lenient=lenient), "doc", "Data", "s")
     return rows.select(
         field("s", "Station_ID").alias("station_id"),
         field("s", "CITY_SN").alias("city_code"),
         field("s", "TOWN_SN").alias("town_code"),
         field("s", "Station_name").alias("station_name"),
-        field("s", "Station_Latitude", "decimal(10,5)").alias("station_latitude"),
-        field("s", "Station_Longitude", "decimal(10,5)").alias("station_longitude"),
+        field("s", "Station_Latitude", "decimal(10,5)", lenient).alias("station_latitude"),
+        field("s", "Station_Longitude", "decimal(10,5)", lenient).alias("station_longitude"),
         field("s", "CITY").alias("city_name"),
         field("s", "TOWN").alias("town_name"),
     )
 
 
-def weather_stations(documents: DataFrame, column: str = "value") -> DataFrame:
+def weather_stations(documents: DataFrame, column: str = "value", lenient: bool = False) -> DataFrame:
     """M-4: weather-station registry, from a deep path."""
-    rows = flatten(parse_documents(documents.select(column), column), "doc", "records.data.stationStatus.station", "s")
+    rows = flatten(parse_documents(documents.select(column), column, lenient=lenient), "doc", "records.data.stationStatus.station", "s")
     return rows.select(
         field("s", "StationID").alias("station_id"),
         empty_to_null(field("s", "OriginalStationID")).alias("original_station_id"),
@@ -42,9 +42,9 @@ def weather_stations(documents: DataFrame, column: str = "value") -> DataFrame:
         field("s", "CountyName").alias("country_name"),
         field("s", "Location").alias("location"),
         empty_to_null(field("s", "Notes")).alias("notes"),
-        field("s", "StationAltitude", "double").alias("station_altitude"),
-        field("s", "StationLongitude", "double").alias("station_longitude"),
-        field("s", "StationLatitude", "double").alias("station_latitude"),
+        field("s", "StationAltitude", "double", lenient).alias("station_altitude"),
+        field("s", "StationLongitude", "double", lenient).alias("station_longitude"),
+        field("s", "StationLatitude", "double", lenient).alias("station_latitude"),
         empty_to_null_date(field("s", "StationStartDate")).alias("start_at"),
         empty_to_null_date(field("s", "StationEndDate")).alias("end_at"),
     )

@@ -81,6 +81,15 @@ def test_text_that_is_no_number(spark):
     assert measurements.measurements(docs, lenient=True).first().precipitation is None
 
 
+def test_malformed_documents(spark, three):
+    rain, weather, geo = (d.union(spark.createDataFrame([("{",)], "value string")) for d in three)
+    models = [(stations.rain_stations, rain, 3), (stations.weather_stations, weather, 2), (measurements.station_geo, geo, 2), (measurements.measurements, geo, 2)]
+    for model, docs, n in models:
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            model(docs).collect()
+        assert len(model(docs, lenient=True).collect()) == n
+
+
 def test_station_geo_keeps_every_description(spark):
     docs = documents(spark, [snapshot(record("C0A520")), snapshot(record("C0A520")), snapshot(record("C0A520", geo="B"))])
     rows = measurements.station_geo(docs).orderBy("country_name").collect()
