@@ -77,14 +77,14 @@ for _name, _key in {"not_in_new_keys": "s_suppkey", "not_in_with_null": "nullif(
     ORACLE[_name] = f"SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT {_key} FROM supplier)"
 
 
-def _frame(func: str, column: str, key: str, ts: str, interval: str) -> str:
+def frame_sql(func: str, column: str, key: str, ts: str, interval: str) -> str:
     over = f"OVER (PARTITION BY {key} ORDER BY {ts} RANGE BETWEEN CURRENT ROW AND INTERVAL '{interval}' FOLLOWING)"
     return f"CAST(round(CAST({func}({column}) {over} AS DECIMAL(18, 6)), 2) AS DOUBLE)"
 
 
 for _grain, _interval in GRAIN_INTERVAL.items():
     for _func in ("avg", "sum", "max"):
-        _result = _frame(_func, "value", "user_id", "ts", _interval)
+        _result = frame_sql(_func, "value", "user_id", "ts", _interval)
         ORACLE[f"window_{_func}_{_grain}"] = f"SELECT event_id, user_id, ts, value, {_result} AS result FROM events"
 ORACLE["window_mode"] = """WITH e AS (SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
     counted AS (SELECT a.event_id, b.k, count(*) AS n FROM e a JOIN e b
@@ -96,7 +96,7 @@ ORACLE["window_mode"] = """WITH e AS (SELECT event_id, ts, CAST(json_extract_str
 
 def _bank(grains) -> str:
     frames = bank_frames(grains=grains)
-    columns = ", ".join(f"{_frame(f.func, f.column, 'station_id', 'measure_at', f.interval)} AS {f.name}" for f in frames)
+    columns = ", ".join(f"{frame_sql(f.func, f.column, 'station_id', 'measure_at', f.interval)} AS {f.name}" for f in frames)
     return f"{SQL_MEASUREMENTS}, bank AS (SELECT *, {columns} FROM measurements)"
 
 

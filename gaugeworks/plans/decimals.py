@@ -28,13 +28,18 @@ DECIMAL_PATHS = {
 }
 
 
-def _decimal(path: str):
-    return field("record", path, "decimal(10,2)")
+def extracted_records(
+    raw: DataFrame, target: DataFrame | None = None, column: str = "raw_data", lenient: bool = False
+) -> DataFrame:
+    """M-13: every record, not cleaned; nested parts as JSON text.  With a target, only later ones.
+
+    ``lenient`` passes over malformed documents and makes readings that are no numbers NULL.
+    """
 
+    def _decimal(path: str):
+        return field("record", path, "decimal(10,2)", lenient)
 
-def extracted_records(raw: DataFrame, target: DataFrame | None = None, column: str = "raw_data") -> DataFrame:
-    """M-13: every record, not cleaned; nested parts as JSON text.  With a target, only later ones."""
-    docs = parse_documents(raw.select(column), column)
+    docs = parse_documents(raw.select(column), column, lenient=lenient)
     records = flatten_two_level(docs, "doc", "records", "record").select(
         quote_trim(field("record", "StationId")).alias("StationId"),
         quote_trim(field("record", "StationName")).alias("StationName"),
@@ -61,9 +66,15 @@ def station_directory(
     rain_documents: DataFrame,
     target: DataFrame | None = None,
     column: str = "raw_data",
+    lenient: bool = False,
 ) -> DataFrame:
-    """M-14: stations seen in records, completed from both registries.  With a target, only new ids."""
-    geo = parse_documents(extracted.select("StationId", "StationName", "GeoInfo"), "GeoInfo", "g").select(
+    """M-14: stations seen in records, completed from both registries.  With a target, only new ids.
+
+    Known ids go before anything is parsed, made distinct or joined.  ``lenient`` as in M-13, for the registries.
+    """
+    seen = extracted.select("StationId", "StationName", "GeoInfo")
+    seen = seen if target is None else not_in(seen, "StationId", target.select(F.col("StationID").alias("known")), "known")
+    geo = parse_documents(seen, "GeoInfo", "g").select(
         F.col("StationId").alias("StationID"),
         "StationName",
         *[field("g", c).alias(c) for c in ("CountyName", "CountyCode", "TownName", "TownCode", "StationAltitude")],
@@ -71,32 +82,31 @@ def station_directory(
         subdocument("g", "Coordinates[1]").alias("Coordinates_WGS84"),
     )
     weather = flatten(
-        parse_documents(weather_documents.select(column), column), "doc", "records.data.stationStatus.station", "s"
+        parse_documents(weather_documents.select(column), column, lenient=lenient), "doc", "records.data.stationStatus.station", "s"
     ).select(
         field("s", "StationID").alias("StationID"),
         field("s", "status").alias("status"),
-        field("s", "StationLatitude", "double").alias("latitude"),
-        field("s", "StationLongitude", "double").alias("longitude"),
+        field("s", "StationLatitude", "double", lenient).alias("latitude"),
+        field("s", "StationLongitude", "double", lenient).alias("longitude"),
         field("s", "Notes").alias("Notes"),
     )
-    rain = flatten(parse_documents(rain_documents.select(column), column), "doc", "Data", "s").select(
+    rain = flatten(parse_documents(rain_documents.select(column), column, lenient=lenient), "doc", "Data", "s").select(
         field("s", "Station_ID").alias("StationID"),
-        field("s", "Station_Latitude", "decimal(10,5)").cast("double").alias("latitude"),
-        field("s", "Station_Longitude", "decimal(10,5)").cast("double").alias("longitude"),
+        field("s", "Station_Latitude", "decimal(10,5)", lenient).cast("double").alias("latitude"),
+        field("s", "Station_Longitude", "decimal(10,5)", lenient).cast("double").alias("longitude"),
     )
     found = geo.distinct().alias("geo")
     first = F.parse_json("geo.Coordinates_TWD67")
-    completed = (
+    return (
         found.join(rain.alias("rain"), F.col("geo.StationID") == F.col("rain.StationID"), "left")
         .join(weather.alias("basic"), F.col("geo.StationID") == F.col("basic.StationID"), "left")
         .select(
             *[f"geo.{c}" for c in ("StationID", "StationName", "CountyName", "CountyCode", "TownName", "TownCode", "StationAltitude")],
             F.coalesce("basic.status", F.lit(EXISTING)).alias("StationStatus"),
-            F.coalesce(field(first, "StationLatitude", "double"), "basic.latitude", "rain.latitude").alias("StationLatitude"),
-            F.coalesce(field(first, "StationLongitude", "double"), "basic.longitude", "rain.longitude").alias("StationLongitude"),
+            F.coalesce(field(first, "StationLatitude", "double", lenient), "basic.latitude", "rain.latitude").alias("StationLatitude"),
+            F.coalesce(field(first, "StationLongitude", "double", lenient), "basic.longitude", "rain.longitude").alias("StationLongitude"),
             F.coalesce("basic.Notes", F.lit("")).alias("Notes"),
             "geo.Coordinates_TWD67",
             "geo.Coordinates_WGS84",
         )
     )
-    return completed if target is None else not_in(completed, "StationID", target, "StationID")

@@ -90,6 +90,19 @@ def test_malformed_documents(spark, three):
         assert len(model(docs, lenient=True).collect()) == n
 
 
+def test_malformed_documents_of_the_decimal_models(spark):
+    broken = spark.createDataFrame([("{",)], "raw_data string")
+    raw = documents(spark, [snapshot(record("466920", Now={"Precipitation": "T"}))], "raw_data").union(broken)
+    weather = documents(spark, [registry(weather_station("466920", Notes="kept"))], "raw_data").union(broken)
+    rain = documents(spark, [{"Data": [rain_station("C0A520")]}], "raw_data").union(broken)
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        decimals.extracted_records(raw).collect()
+    extracted = decimals.extracted_records(raw, lenient=True)
+    assert [r.Precipitation for r in extracted.collect()] == [None]
+    rows = decimals.station_directory(extracted, weather, rain, lenient=True).collect()
+    assert [(r.StationID, r.Notes) for r in rows] == [("466920", "kept")]
+
+
 def test_station_geo_keeps_every_description(spark):
     docs = documents(spark, [snapshot(record("C0A520")), snapshot(record("C0A520")), snapshot(record("C0A520", geo="B"))])
     rows = measurements.station_geo(docs).orderBy("country_name").collect()
