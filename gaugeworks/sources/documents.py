@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from itertools import batched
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.sources import tables
 
-NAMED_FILES = 10_000  # up to this many new files are opened by name
-GLOB_CHARACTERS = "*?[]{}\\"
+FILES_AT_ONCE = 10_000  # files of one append
 
 
 def scan_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -36,20 +38,21 @@ def unloaded_files(listing: DataFrame, loaded: DataFrame | None) -> DataFrame:
     return names if loaded is None else names.join(loaded.select("filename").distinct(), "filename", "left_anti")
 
 
-def raw_load(spark: SparkSession, landing: str, raw_path: str, glob: str = "*") -> None:
-    """Append new files to ``raw(filename, raw_data)`` in one distributed job (R-02).
+def literal_path(path: str) -> str:
+    """A path that means itself where patterns are allowed."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
+
+
+def raw_load(spark: SparkSession, landing: str, raw_path: str, glob: str = "*", at_once: int = FILES_AT_ONCE) -> None:
+    """Append new files to ``raw(filename, raw_data)`` (R-02).
 
-    A run's few new files are opened by name.  Beyond ``NAMED_FILES`` the names stay in Spark: the
-    folder is scanned and files already loaded are dropped by an anti join.
+    New files, and no others, are opened by name, ``at_once`` in each append, so the driver never holds more
+    names than that.  A load that fails part of the way is continued by the next one.
     """
     loaded = tables.read(spark, raw_path)
-    new = unloaded_files(list_files(spark, landing, glob), loaded)
-    paths = [row.path for row in new.select("path").limit(NAMED_FILES + 1).collect()]
-    if not paths and loaded is not None:
-        return
-    by_name = paths and len(paths) <= NAMED_FILES and not any(c in p for p in paths for c in GLOB_CHARACTERS)
-    if by_name:
-        documents = scan_documents(spark, paths)
-    else:
-        documents = scan_documents(spark, landing).join(new.select("filename"), "filename", "left_semi")
-    tables.append(documents.withColumnRenamed("value", "raw_data"), raw_path)
+    if loaded is None:
+        tables.append(spark.createDataFrame([], "filename string, raw_data string"), raw_path)
+    new = unloaded_files(list_files(spark, landing, glob), loaded).select("path")
+    for rows in batched(new.toLocalIterator(), at_once):
+        documents = scan_documents(spark, [literal_path(row.path) for row in rows])
+        tables.append(documents.withColumnRenamed("value", "raw_data"), raw_path)

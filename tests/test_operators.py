@@ -154,16 +154,21 @@ def test_versions_survive_a_failed_write(spark, tmp_path):
     assert rows == {(1, "a"), (2, "new"), (3, "c"), (None, "n")}
 
 
-def test_raw_load_takes_each_file_once(spark, tmp_path, monkeypatch):
+def test_raw_load_takes_each_file_once(spark, tmp_path):
     landing, raw = tmp_path / "landing", str(tmp_path / "raw")
     landing.mkdir()
-    for limit, name in ((10_000, "first one.json"), (0, "second.json"), (10_000, "third.json")):
-        monkeypatch.setattr(documents, "NAMED_FILES", limit)  # 0: the way for more names than the driver should hold
-        (landing / name).write_text('{"a":\n 1}')
+    (landing / "not taken.txt").write_text("x")
+    documents.raw_load(spark, str(landing), raw, "*.json")
+    assert spark.read.parquet(raw).columns == ["filename", "raw_data"] and spark.read.parquet(raw).isEmpty()
+    runs = (["first one.json"], ["second.json", "[3]{a,b}*.json", "3.json", "100%20?.json"], ["third.json"])
+    for names in runs:
+        for name in names:
+            (landing / name).write_text(f'{{"a":\n "{name}"}}')
         for _ in range(2):
-            documents.raw_load(spark, str(landing), raw, "*.json")
+            documents.raw_load(spark, str(landing), raw, "*.json", at_once=3)
     rows = spark.read.parquet(raw).collect()
-    assert len(rows) == 3 and len({r.filename for r in rows}) == 3 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
+    assert len({r.filename for r in rows}) == 6
+    assert sorted(r.raw_data for r in rows) == sorted(f'{{"a":\n "{name}"}}' for names in runs for name in names)
 
 
 def test_round2_is_decimal_rounding(spark):
