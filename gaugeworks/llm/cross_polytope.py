@@ -4,12 +4,17 @@ Three rounds of random signs and a fast Hadamard transform turn each unit vector
 in a table is the signed axis nearest to it. A query probes, in every table, the axes that it is nearest to,
 and all vectors found there are ranked by their exact inner product on the original vectors.
 
-For largest inner products of vectors of unequal length, one coordinate is added that makes all data vectors
-equally long and is zero in queries; nearest by angle is then largest by inner product.
+For largest inner products of vectors of unequal length, data vectors are dealt to ranges of length. In each
+range one coordinate is added that makes its vectors equally long and is zero in queries; nearest by angle is
+then largest by inner product. Queries probe every range.
+
+How much the buckets find depends on the vectors, so it is measured: some queries are also answered exactly,
+block by block, and where too little was found all queries are.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +26,10 @@ from gaugeworks.llm.shared import saved
 
 #: Tables, axes probed in each, vectors of a block. Recall at these figures is in the README.
 TABLES, PROBES, BLOCK = 12, 20, 8192
+#: Ranges of length at most, greatest ratio of lengths in one (the last takes all shorter vectors).
+RANGES, RATIO = 8, 1.5
+#: Queries that measure recall, and the recall below which all queries are answered exactly.
+MEASURED, LEAST_RECALL = 256, 0.95
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
@@ -64,7 +73,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
     but the query's own. Rows whose vec_id is null or whose vector is null, zero or holds null or non-finite
     components take no part. Vectors may differ in length; the shorter of two counts as continued by zeros.
     Rows that share a vec_id are one candidate, with the greatest score. Ties go to the smaller vec_id. An
-    empty table gives no rows. Buckets are read block by block, however many vectors they hold.
+    empty table gives no rows. Buckets are read block by block, however many vectors they hold. Where the
+    buckets hold less than LEAST_RECALL of what MEASURED queries should find, the result is exact.
     """
     v = F.col("embedding").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -72,12 +82,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"), F.coalesce(fine, F.lit(False)).alias("fine"))
     rows = rows.where("fine")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
-    known = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("n")).first()
-    if not known.n:
+    known = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("n"), F.count_if("asks").alias("asks")).first()
+    if not known.asks:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    width, longest = known.width, known.norm
-    rows = rows.select("vec_id", "asks", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v"))).alias("v"))
+    width = known.width
+    shorter = F.floor(F.log(F.lit(known.norm) / norm) / F.lit(float(np.log(RATIO))))
+    ranged = F.greatest(F.lit(0), F.least(F.lit(RANGES - 1), shorter)).cast("int").alias("ranged")
+    longest = {r.ranged: r.norm for r in rows.groupBy(ranged).agg(F.max(norm).alias("norm")).collect()}  # RANGES at most
+    rows = rows.select("vec_id", "asks", ranged, F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v"))).alias("v"))
     rotations = Rotations(width + 1, tables)
+    lengths = np.array([longest.get(i, 0.0) for i in range(RANGES)])
 
     def placed(count: int, as_query: bool):
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,13 +99,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
                 for at in range(0, batch.num_rows, 1024):
                     part = batch.slice(at, 1024)
                     values = _matrix(part.column(1), width)
-                    room = np.zeros(len(values)) if as_query else np.sqrt(np.maximum(0, longest**2 - (values**2).sum(axis=1)))
+                    norms = np.linalg.norm(values, axis=1)
+                    if as_query:
+                        own, room = None, np.zeros(len(values))
+                    else:
+                        own = part.column(2).to_numpy()
+                        room = np.sqrt(np.maximum(0, lengths[own] ** 2 - norms**2))
                     full = np.column_stack([values, room])
                     full /= np.linalg.norm(full, axis=1, keepdims=True)
-                    for table in range(tables):
+                    for table, probed in itertools.product(range(tables), longest if as_query else [None]):
                         axes = rotations.axes(full, table, count)
                         which = np.repeat(np.arange(len(values)), axes.shape[1])
-                        bucket = table * 2 * rotations.size + axes.ravel()
+                        ranges = own[which] if probed is None else probed
+                        bucket = (ranges * tables + table) * 2 * rotations.size + axes.ravel()
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(bucket, pa.int32()), part.column(0).take(pa.array(which)), part.column(1).take(pa.array(which))], ["bucket", "vec_id", "v"]
                         )
@@ -99,8 +119,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
         return place
 
     schema = "bucket int, vec_id bigint, v array<double>"
-    index = saved(rows.select("vec_id", "v").mapInArrow(placed(1, False), schema), "index")
-    sizes = index.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # tables x axes at most
+    index = saved(rows.select("vec_id", "v", "ranged").mapInArrow(placed(1, False), schema), "index")
+    sizes = index.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))  # ranges x tables x axes at most
     dealt = index.join(F.broadcast(sizes), "bucket").selectExpr("bucket", "vec_id", "v", "int(pmod(xxhash64(vec_id), blocks)) AS block")
     asking = rows.where("asks").select("vec_id", "v").mapInArrow(placed(probes, True), schema)
     asked = asking.join(F.broadcast(sizes.toDF("bucket", "spread")), "bucket").selectExpr("bucket", "vec_id", "v", "explode(sequence(0, spread - 1)) AS block")
@@ -128,9 +148,33 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
                 found[2].append(scores[row[keep], column[keep]])
         return pa.table([pa.array(np.concatenate(f) if f else [], t) for f, t in zip(found, (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
-    pairs = asked.groupBy("bucket", "block").cogroup(dealt.groupBy("bucket", "block")).applyInArrow(nearest, "query_id bigint, vec_id bigint, score double")
-    best = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return _top(best, k)
+    pairs = asked.groupBy("bucket", "block").cogroup(dealt.groupBy("bucket", "block")).applyInArrow(nearest, FOUND)
+    found = saved(_top(_greatest(pairs), k), "nearest")
+
+    def exact(asks: DataFrame, n: int) -> DataFrame:
+        """The k nearest of `n` queries among all rows, every block of the one with every block of the other."""
+        ask_blocks, blocks = -(-n // BLOCK), -(-known.n // BLOCK)
+        every = lambda number, name: F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias(name)
+        dealt_to = lambda number, name: F.pmod(F.xxhash64("vec_id", "v"), F.lit(number)).cast("int").alias(name)
+        left = asks.select("vec_id", "v", dealt_to(ask_blocks, "ask_block"), every(blocks, "block"))
+        right = rows.select("vec_id", "v", dealt_to(blocks, "block"), every(ask_blocks, "ask_block"))
+        met = left.groupBy("ask_block", "block").cogroup(right.groupBy("ask_block", "block")).applyInArrow(nearest, FOUND)
+        return _top(_greatest(met), k)
+
+    asks = rows.where("asks").select("vec_id", "v")
+    # Whole ids: all rows of a query's id count.
+    chosen = asks.select("vec_id").distinct().orderBy(F.xxhash64("vec_id")).limit(MEASURED)
+    measured = saved(asks.join(F.broadcast(chosen), "vec_id"), "measured")
+    wanted = exact(measured, measured.count())
+    met = wanted.join(found.select("query_id", "vec_id", F.lit(1).alias("met")), ["query_id", "vec_id"], "left")
+    recall = met.agg(F.count("met") / F.count("*")).first()[0]
+    if recall is not None and recall < LEAST_RECALL:
+        return exact(asks, known.asks)
+    return found
+
+
+def _greatest(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
 
 
 def _top(best: DataFrame, k: int) -> DataFrame:

@@ -245,6 +245,33 @@ def test_nearest(spark):
     assert cross_polytope.search(few.where("false"), F.lit(True)).count() == 0
 
 
+def nearest_recall(spark, x):
+    """(recall, rows) of 40 queries among the rows of x."""
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in cross_polytope.search(rows, F.col("vec_id") < 40).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(40):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-scores)[:20].tolist()))
+    return hits / 800, sum(map(len, got.values()))
+
+
+@pytest.mark.parametrize("case", ["one long", "lognormal", "wide"])
+def test_nearest_of_other_shapes(spark, case):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1000, 768 if case == "wide" else 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if case == "one long":
+        x[500] *= 100
+    if case == "lognormal":
+        x *= np.exp(rng.normal(size=(1000, 1)))
+    recall, rows = nearest_recall(spark, x)
+    assert rows == 800 and recall >= 0.9
+
+
 def test_hadamard_turn_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 7))
     turned = cross_polytope.Rotations(7, 1).turn(x, 0)
