@@ -37,3 +37,18 @@ def fresh(columns: Iterable[str], name: str) -> str:
 def row_key(text: Column) -> Column:
     """Tells apart rows that share a doc_id: 64-bit hash of the text, 0 for null."""
     return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text))
+
+
+#: Tasks over which the rows of one key are dealt in a join with a table of unique keys.
+SALTS = 64
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """`rows` joined with `lookup`, which has one row for each `key`; rows of one key meet it in SALTS tasks, dealt by `by`.
+
+    A row of `lookup` is copied once for each of the places where its key occurs, so at most SALTS times.
+    """
+    salt = fresh([*rows.columns, *lookup.columns], "salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)))
+    copies = dealt.select(key, salt).distinct().join(lookup, key)
+    return dealt.join(copies, [key, salt], how).drop(salt)
