@@ -8,8 +8,13 @@ shingle are correlated, no two alike, which lowers the variance of the estimate
 Documents of equal sets are one node. Nodes that share a band meet in a bucket:
 
 1. every node is compared on its full set with one leader that it meets most often; links form components;
-2. buckets that still hold several components are compared in tiles, by signatures, between components only;
-   what their estimate does not rule out is compared on full sets.
+2. in buckets that still hold several components, nodes of different ones are compared by sizes and signatures;
+   a bucket reports a spanning forest of the pairs that these do not rule out, and forests form families;
+3. in a family, nodes of different components are compared on full sets, and a spanning forest of the links
+   joins the components.
+
+Buckets and families are compared in pairs of tiles, and only forests leave a task, so no group of copies
+brings forth all its pairs. A component that fills tiles of its own is not compared within itself.
 
 With 32 bands of 4 places a pair of similarity 0.8 meets in no bucket with probability 5e-8, and an estimate
 under LEAST_ESTIMATE has 1e-8; both fall fast above 0.8. No bucket is capped or sampled.
@@ -18,7 +23,7 @@ under LEAST_ESTIMATE has 1e-8; both fall fast above 0.8. No bucket is capped or
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +36,10 @@ from gaugeworks.llm.shared import SALTS, row_key, saved, spread_join
 
 #: Words of a shingle and the least similarity of a link in per cent; bands and places of a band.
 SHINGLE, PERCENT, BANDS, PLACES = 5, 80, 32, 4
-#: Estimates below rule a pair out (5.6 deviations under 0.8); nodes of a tile; shingles handled at once.
-LEAST_ESTIMATE, TILE, CHUNK = 0.6, 512, 1 << 18
+#: Estimates below rule a pair out (5.6 deviations under 0.8); nodes of a bucket's tile; shingles of a family's tile.
+LEAST_ESTIMATE, TILE, FAMILY_TILE = 0.6, 512, 1 << 18
+#: Shingles handled at once.
+CHUNK = 1 << 18
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -145,71 +152,106 @@ def stars(nodes: DataFrame) -> DataFrame:
     return counts.groupBy("node").agg(F.max_by("leader", F.struct("count", -F.col("leader"))).alias("leader"))
 
 
-def open_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(u, v): pairs of nodes (node, comp, n, signature, bands) of different components that share a bucket and may link.
+def open_nodes(nodes: DataFrame) -> DataFrame:
+    """The rows of `nodes` (node, comp, bands) that share a bucket with a node of another component."""
+    buckets = nodes.select(F.explode("bands").alias("bucket"), "node", "comp")
+    several = buckets.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("bucket")
+    return nodes.join(spread_join(buckets, several, "bucket", "node").select("node").distinct(), "node")
+
+
+def tile_pairs(members: DataFrame, group: str, weight: Column, most: int, lists: list[str]) -> DataFrame:
+    """Pairs of tiles that between them hold all pairs of rows of one `group` and different components (comp).
 
-    Nodes of a bucket are laid in tiles; components of a tile's size or more have tiles of their own, which
-    are not compared with each other, so a bucket filled by one component costs as many tiles as it has.
+    A tile holds a weight of about `most`; `lists` are the columns kept, as arrays, once for either tile.
+    Components heavier than that have tiles of their own, which are not paired with each other.
     """
-    members = nodes.select(F.explode("bands").alias("bucket"), "node", "comp", "n", "signature")
-    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
-    small = F.sum(F.when(F.col("size") < TILE, F.col("size")).otherwise(0)).alias("small")
-    buckets = sizes.groupBy("bucket").agg(F.count("*").alias("comps"), small).where("comps > 1").select("bucket", "small")
-    labels = sizes.join(buckets, "bucket").select(
-        F.struct("bucket", "comp").alias("place"),
-        F.when(F.col("size") < TILE, F.lit(-1)).otherwise(F.col("comp")).alias("label"),
-        F.ceil(F.when(F.col("size") < TILE, F.col("small")).otherwise(F.col("size")) / TILE).alias("tiles"),
+    sizes = members.groupBy(group, "comp").agg(F.sum(weight).alias("size"))
+    light = F.col("size") < most
+    small = F.sum(F.when(light, F.col("size")).otherwise(0)).alias("small")
+    groups = sizes.groupBy(group).agg(F.count("*").alias("comps"), small).where("comps > 1").select(group, "small")
+    labels = sizes.join(groups, group).select(
+        F.struct(group, "comp").alias("place"),
+        F.when(light, F.lit(-1)).otherwise(F.col("comp")).alias("label"),
+        F.ceil(F.when(light, F.col("small")).otherwise(F.col("size")) / most).alias("tiles"),
     )
-    placed = spread_join(members.withColumn("place", F.struct("bucket", "comp")), labels, "place", "node")
+    placed = spread_join(members.withColumn("place", F.struct(group, "comp")), labels, "place", "node")
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).alias("tile")
-    tiles = saved(
-        placed.groupBy("bucket", "label", tile).agg(
-            *[F.collect_list(c).alias(f"{c}s") for c in ("node", "comp", "n", "signature")]
-        ),
-        "tiles",
-    )
-    names = [c for c in tiles.columns if c != "bucket"]
-    others = tiles.select("bucket", *[F.col(c).alias(f"other_{c}") for c in names])
+    row = F.collect_list(F.struct(*lists)).alias("rows")
+    tiles = placed.groupBy(group, "label", tile).agg(row).select(group, "label", "tile", *[F.col(f"rows.{c}").alias(c) for c in lists])
+    tiles = saved(tiles, "tiles")
+    others = tiles.toDF(group, *[f"other_{c}" for c in tiles.columns[1:]])
     before = F.struct("label", "tile") <= F.struct("other_label", "other_tile")
-    pairs = tiles.join(others, "bucket").where(before & ((F.col("label") != F.col("other_label")) | (F.col("label") == -1)))
-    lists = ["nodes", "comps", "ns", "signatures"]
-    pairs = pairs.select(*lists, *[f"other_{c}" for c in lists])
+    pairs = tiles.join(others, group).where(before & ((F.col("label") != F.col("other_label")) | (F.col("label") == -1)))
+    return pairs.select(*lists, *[f"other_{c}" for c in lists])
+
+
+def forest(near: Iterator[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the pairs (index into nodes a, indexes into nodes b) connect, as pairs of a node and the least one of its group."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = places[: len(a)], places[len(a) :]
+    tree = np.arange(len(nodes))
+    for i, others in near:
+        groups = np.unique(np.append(tree[right[others]], tree[left[i]]))
+        if len(groups) > 1:
+            tree[np.isin(tree, groups)] = groups[0]
+    hung = np.flatnonzero(tree != np.arange(len(nodes)))
+    return nodes[hung], nodes[tree[hung]]
+
+
+def _forests(pairs: DataFrame, near: Callable) -> DataFrame:
+    """(u, v): the forests of pairs of tiles, whose near nodes `near` gives from the columns of either tile."""
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            half = batch.num_columns // 2
             for row in range(batch.num_rows):
-                a, b = (_tile(batch.columns[i : i + 4], row) for i in (0, 4))
-                u, v = _candidates(a, b, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["u", "v"])
+                a, b = ([c[row].values for c in columns] for columns in (batch.columns[:half], batch.columns[half:]))
+                u, v = forest(near(a, b), a[0].to_numpy(), b[0].to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    return pairs.mapInArrow(found, "u bigint, v bigint")
+
+
+def weak_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(u, v): forests of nodes (node, comp, n, signature, bands) of different components that share a bucket and may link."""
+    least = LEAST_ESTIMATE * percent / PERCENT * BANDS * PLACES
 
-    return pairs.mapInArrow(compared, "u bigint, v bigint").distinct()
+    def near(a: list[pa.Array], b: list[pa.Array]) -> Iterator[tuple[int, np.ndarray]]:
+        (comps, sizes), (others, other_sizes) = ([x.to_numpy() for x in t[1:3]] for t in (a, b))
+        ranks, other_ranks = (np.frombuffer(b"".join(t[3].to_pylist()), "u2").reshape(len(t[3]), -1) for t in (a, b))
+        for i in range(len(comps)):
+            lesser, greater = np.minimum(sizes[i], other_sizes), np.maximum(sizes[i], other_sizes)
+            kept = np.flatnonzero((comps[i] != others) & (100 * lesser >= percent * greater))
+            yield i, kept[(ranks[i] == other_ranks[kept]).sum(axis=1) >= least]
+
+    members = nodes.select(F.explode("bands").alias("bucket"), "node", "comp", "n", "signature")
+    return _forests(tile_pairs(members, "bucket", F.lit(1), TILE, ["node", "comp", "n", "signature"]), near).distinct()
 
 
-def _tile(columns: list[pa.Array], row: int) -> tuple[np.ndarray, ...]:
-    nodes, comps, sizes, ranks = (c[row].values for c in columns)
-    ranks = np.frombuffer(b"".join(ranks.to_pylist()), "u2").reshape(len(nodes), -1)
-    return nodes.to_numpy(), comps.to_numpy(), sizes.to_numpy(), ranks
+def family_links(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(u, v): forests of the links between nodes (family, node, comp, n, members) of one family and different components."""
 
+    def near(a: list[pa.Array], b: list[pa.Array]) -> Iterator[tuple[int, np.ndarray]]:
+        (comps, sizes), (others, other_sizes) = ([x.to_numpy() for x in t[1:3]] for t in (a, b))
+        sets = [np.frombuffer(x, "u8") for x in b[3].to_pylist()]
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        shingles = np.concatenate(sets)
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], owner[order]
+        for i, own in enumerate(np.frombuffer(x, "u8") for x in a[3].to_pylist()):
+            low, high = np.searchsorted(shingles, own), np.searchsorted(shingles, own, side="right")
+            runs = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+            shared = np.bincount(owner[at], minlength=len(sets))
+            yield i, np.flatnonzero((comps[i] != others) & (100 * shared >= percent * (sizes[i] + other_sizes - shared)))
 
-def _candidates(a: tuple, b: tuple, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of different components whose sizes and estimates allow a link."""
-    left, right = [], []
-    floor = LEAST_ESTIMATE * percent / PERCENT * a[3].shape[1]
-    for i in range(len(a[0])):
-        lesser, greater = np.minimum(a[2][i], b[2]), np.maximum(a[2][i], b[2])
-        near = np.flatnonzero((a[1][i] != b[1]) & (100 * lesser >= percent * greater))
-        near = near[(a[3][i] == b[3][near]).sum(axis=1) >= floor]
-        left.append(np.full(len(near), a[0][i]))
-        right.append(b[0][near])
-    return np.concatenate(left), np.concatenate(right)
+    return _forests(tile_pairs(nodes, "family", F.col("n"), FAMILY_TILE, ["node", "comp", "n", "members"]), near)
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs (u, v) of nodes whose full sets link, each set made anew from the text of one of its documents."""
-    pairs = saved(pairs.select("u", "v"), "pairs")
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+def sets_of(nodes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
+    """(node, members) of `nodes` (node, first): sorted hashes, made anew from the text of one of a node's documents."""
     name = lambda id_, key: F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("")), key)
-    ids = nodes.join(wanted, "node").select("node", name(F.col("first.doc_id"), F.col("first.key")).alias("row"))
+    ids = nodes.select("node", name(F.col("first.doc_id"), F.col("first.key")).alias("row"))
     texts = _texts(documents).select(name(F.col("doc_id"), F.col("key")).alias("row"), "text")
     texts = texts.join(ids, "row").dropDuplicates(["row"]).select("node", "text")
 
@@ -218,8 +260,12 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, shingle:
             columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "members"])
 
-    sets = saved(texts.mapInArrow(found, "node bigint, members binary"), "sets")
-    left = pairs.join(sets.toDF("u", "left"), "u")
+    return texts.mapInArrow(found, "node bigint, members binary")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of nodes whose full sets (node, members) link."""
+    left = pairs.select("u", "v").join(sets.toDF("u", "left"), "u")
     both = spread_join(left, sets.toDF("v", "right"), "v", "u")
     return both.where(linked(F.col("left"), F.col("right"), percent)).select("u", "v")
 
@@ -256,12 +302,15 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     nodes = rows.where("n > 0").groupBy("digest").agg(F.min(place).alias("first"), *same)
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     met = saved(stars(nodes), "stars")
-    first = saved(confirmed(met.select(F.col("node").alias("u"), F.col("leader").alias("v")), nodes, documents, shingle, percent), "links")
+    touched = nodes.join(met.select("node").union(met.select("leader")).distinct(), "node")
+    sets = saved(sets_of(touched, documents, shingle), "sets")
+    first = saved(confirmed(met.toDF("u", "v"), sets, percent), "links")
     roots = connected_components(first)
-    touched = met.select("node").union(met.select("leader")).distinct()
-    named = nodes.join(touched, "node").join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-    second = confirmed(open_pairs(named, percent), nodes, documents, shingle, percent)
-    roots = connected_components(saved(first.union(second), "links"))
+    left = saved(open_nodes(touched.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))), "open")
+    families = connected_components(weak_pairs(left, percent)).toDF("node", "family")
+    within = families.join(left.select("node", "comp", "n"), "node").join(sets, "node")
+    second = saved(family_links(within, percent), "links")
+    roots = connected_components(first.union(second))
     rooted = nodes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     components = spread_join(rooted, least, "root", "digest").select("digest", F.col("least.doc_id").alias("component_id"))

@@ -172,6 +172,7 @@ def test_copies(spark, size, monkeypatch):
 def test_links_that_no_leader_sees(spark, monkeypatch):
     """A chain of copies, each linked with the next alone, in tiles smaller than the buckets."""
     monkeypatch.setattr(super_minhash, "TILE", 4)
+    monkeypatch.setattr(super_minhash, "FAMILY_TILE", 500)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(words[18 * i : 18 * i + 200])) for i in range(12)]
     table = spark.createDataFrame(rows, "doc_id bigint, text string")
