@@ -54,33 +54,44 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many lines of each document go, their code points, and the MD5 of what stays (null text: null)."""
+    """How many units of each document go, their code points, and the MD5 of what stays (null text: null)."""
     kept = line_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), spans_as="spans")
     lost = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
     return kept.select("doc_id", F.size("spans").cast("bigint").alias("n_removed"), lost.alias("removed_chars"), F.md5("text").alias("kept_md5"))
 
 
 OP3_SQL = """
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS unit
+WITH cut AS (
+  SELECT doc_id, string_split(regexp_replace(text, '([.!?][\\x09-\\x0D ]+|\\n)', '\\1' || chr(1), 'g'), chr(1)) AS pieces
   FROM documents WHERE text IS NOT NULL
+), pieces AS (
+  SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS place FROM cut
 ), normal AS (
-  SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                '[\\x09-\\x0D ]+', ' ', 'g'), ' ') AS norm
-  FROM lines
-), ranked AS (
-  SELECT *, len(string_split(norm, ' ')) >= 5
-            AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
+  SELECT *, trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D ]+', ' ', 'g'), ' ') AS norm
+  FROM pieces
+), numbered AS (
+  SELECT *, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS n,
+         count(*) FILTER (norm <> '' AND len(string_split(norm, ' ')) >= 6)
+           OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS unit
   FROM normal
+), units AS (
+  SELECT doc_id, unit, sum(n) AS n, string_agg(piece, '' ORDER BY place) AS text,
+         string_agg(norm, ' ' ORDER BY place) FILTER (norm <> '') AS norm
+  FROM numbered GROUP BY doc_id, unit
+), ranked AS (
+  SELECT *, n > 0 AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS later FROM units
+), runs AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id, later ORDER BY unit) AS run FROM ranked
+), judged AS (
+  SELECT *, later AND sum(n) OVER (PARTITION BY doc_id, later, run) >= 16 AS gone FROM runs
 )
 SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars,
        CASE WHEN d.text IS NULL THEN NULL ELSE md5(coalesce(kept, '')) END AS kept_md5
 FROM documents d LEFT JOIN (
   SELECT doc_id, count(*) FILTER (gone) AS n_removed,
-         CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
-         string_agg(line, chr(10) ORDER BY unit) FILTER (NOT gone) AS kept
-  FROM ranked GROUP BY doc_id
+         CAST(coalesce(sum(length(text)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+         string_agg(text, '' ORDER BY unit) FILTER (NOT gone) AS kept
+  FROM judged GROUP BY doc_id
 ) r ON d.doc_id = r.doc_id
 """
 
