@@ -14,26 +14,31 @@ from pyspark.sql import functions as F
 
 from gaugeworks.llm.pieces import SPACE_BYTES, PieceMemo, gather
 
-#: Pieces that go to the library in one string, and strings in one call.
-GROUP, AT_ONCE = 500, 20
+#: Pieces that go to the library in one string, strings in one call, and the pieces a worker remembers.
+GROUP, AT_ONCE, KEPT = 500, 20, 1_000_000
 
 
 class LibraryEncoder:
-    """Encodes pieces with the vocabulary file `path` of a byte-level tokenizer, special tokens as plain text."""
+    """Encodes pieces with the vocabulary file `path` of a byte-level tokenizer, as the library does by default.
+
+    A text is cut at added tokens first there; none holds white space, so each lies in one piece.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
         self.opens = np.array([(self.library.id_to_token(i) or "").startswith("Ġ") for i in range(self.size)])
 
     def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """A space and characters after it: joined to long strings, since only the first token of each begins
         with a space. Other pieces go one by one."""
-        plain = np.array([len(p) > 1 and p[0] == 32 and p[1] < 0x80 and p[1] not in SPACE_BYTES for p in pieces])
+        plain = np.array(
+            [len(p) > 1 and p[0] == 32 and p[1] < 0x80 and p[1] not in SPACE_BYTES and not any(a in p for a in self.added) for p in pieces]
+        )
         joined = np.flatnonzero(plain)
         groups = [joined[i : i + GROUP] for i in range(0, len(joined), GROUP)]
         alone = np.flatnonzero(~plain)
@@ -63,7 +68,7 @@ class LibraryEncoder:
 @functools.cache
 def library_memo(path: str) -> PieceMemo:
     """One per worker process and vocabulary."""
-    return PieceMemo(LibraryEncoder(path))
+    return PieceMemo(LibraryEncoder(path), KEPT)
 
 
 def library_ids(text: Column, path: str, end_id: int) -> Column:

@@ -103,8 +103,8 @@ def gather(flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndar
 class PieceMemo:
     """Ids of texts through `learn`, which gets new pieces as bytes and returns (ids of all, number in each)."""
 
-    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
-        self.learn = learn
+    def __init__(self, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT) -> None:
+        self.learn, self.kept = learn, kept
         self.keys = np.zeros(0, "u8")
         self.begins = np.zeros(0, "i8")
         self.counts = np.zeros(0, "i8")
@@ -132,7 +132,7 @@ class PieceMemo:
             learned, sizes = self.learn([raw[s:e] for s, e in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)])
             counts[new], begins[new] = sizes, len(ids) + np.cumsum(sizes) - sizes
             ids = np.concatenate([ids, learned.astype("u4")])
-            if len(self.keys) < KEPT:
+            if len(self.keys) < self.kept:
                 self.ids = ids
                 place = np.searchsorted(self.keys, keys[new])
                 self.keys = np.insert(self.keys, place, keys[new])

@@ -55,6 +55,7 @@ def count_ids(ids: Column, kind: str, size: int, frame: DataFrame) -> DataFrame:
     """How often each id occurs in a binary column: (id, n), at most `size` rows."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library_memo.cache_clear()  # the texts are encoded by now; a worker's memory goes to the next steps
         total = np.zeros(size, "i8")
         for batch in batches:
             for row in batch.column(0):

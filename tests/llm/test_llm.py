@@ -33,7 +33,7 @@ from gaugeworks.llm.components import connected_components
 from gaugeworks.llm.shared import shared_folder
 
 SF = "/root/testdata/sf0.001"
-ODD = [None, "", " ", "\n\n", "x", "é" * 150, "z" * 3000, "a b  c\t\td \xa0 e", "<|endoftext|> it's 12'34", "日本 語　テ\n" * 20, "ab" * 500]
+ODD = [None, "", " ", "\n\n", "x", "é" * 150, "z" * 3000, "a b  c\t\td \xa0 e", "<|endoftext|> it's 12'34", "a<|endoftext|> b  <|endoftext|>c <|endoftext|><|endoftext|>\n<|endoftext|>.d e", "日本 語　テ\n" * 20, "ab" * 500]
 
 
 @pytest.fixture(scope="module")
@@ -65,7 +65,6 @@ def crc(ids):
 @pytest.fixture(scope="module")
 def library():
     found = Tokenizer.from_file(queries.BYTE_BPE)
-    found.encode_special_tokens = True
     return lambda text: found.encode(text or "", add_special_tokens=False).ids
 
 
@@ -140,17 +139,48 @@ def test_line_dedup_against_sql(spark):
     assert sorted(map(tuple, found.select("doc_id", "n_removed", "removed_chars", "kept_md5").collect())) == sorted(wanted)
 
 
+def test_line_units():
+    text = "One two three four five six. Seven. Eight nine\nten eleven twelve thirteen.  Last\xa0one"
+    found = list(line_dedup.units(text))
+    assert [(n, w, text[a:b]) for n, w, a, b, _ in found] == [(0, 6, text[:29]), (1, 8, text[29:])]
+    assert [u[:4] for u in line_dedup.units("a b. \n\n c\n", 1)] == [(0, 2, 0, 8), (1, 1, 8, 10)]
+    assert not list(line_dedup.units(None)) and not list(line_dedup.units(" \n. "[:2]))
+
+
 def test_line_dedup_cases(spark, documents):
-    line = "Five words in this line"
-    rows = queries_schema(spark, [(2, f"{line}\nown"), (1, f"x\n  five  WORDS in this line \n{line}"), (None, line), (3, "a b\na b"), (2, f"{line}\nown")])
-    found = line_dedup.remove_repeats(rows, spans_as="gone").collect()
-    by = {(r.doc_id, r.text): [tuple(s) for s in r.gone] for r in found}
-    assert by == {(2, "own"): [(0, 0, 23)], (1, "x\n  five  WORDS in this line "): [(2, 30, 53)], (None, ""): [(0, 0, 23)], (3, "a b\na b"): []}
-    assert len(found) == 5
+    first, second = "One two three four five six seven eight. ", "Nine ten eleven twelve thirteen fourteen fifteen sixteen.\n"
+    stock = "Only eight words are in this stock line.\n"
+    rows = [
+        (2, "These are my very own words. " + first + second + "Tail"),
+        (1, first + second.upper() + stock),
+        (None, first.replace(" ", "\t ") + second),
+        (3, stock + "other text that is long enough here."),
+        (4, first + second + first + second),
+        (2, "These are my very own words. " + first + second + "Tail"),
+        (5, None),
+        (6, ""),
+    ]
+    table = queries_schema(spark, rows)
+    found = line_dedup.remove_repeats(table, spans_as="gone").collect()
+    by = {(r.doc_id, r.text): [rows_text(rows, r.doc_id)[s["start"] : s["end"]] for s in r.gone] for r in found}
+    assert by == {
+        (2, "These are my very own words. Tail"): [first, second],
+        (1, first + second.upper() + stock): [],
+        (None, ""): [first.replace(" ", "\t "), second],
+        (3, stock + "other text that is long enough here."): [],
+        (4, ""): [first, second, first, second],
+        (5, None): [],
+        (6, ""): [],
+    }
+    assert len(found) == len(rows)
     assert line_dedup.remove_repeats(documents).columns == documents.columns
     assert line_dedup.remove_repeats(empty(documents)).count() == 0
 
 
+def rows_text(rows, doc_id):
+    return next(t for d, t in rows if d == doc_id) or ""
+
+
 def test_repeated_strings_in_collections():
     pick = random.Random(3)
     for length in (1, 2, 3, 20):
