@@ -13,6 +13,7 @@ from checks.scratch import scratch_dir
 from gaugeworks.operators.bank import bank_frames
 from gaugeworks.operators.marts import GRAIN_WORD, mart_name
 from gaugeworks.plans import decimals, measurements, refresh, stations
+from gaugeworks.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 MODELS: dict[str, Query] = {}
@@ -61,7 +62,7 @@ def _refreshed_stations(spark: SparkSession, sf_dir: str, name: str) -> DataFram
         refresh.refresh_stations(
             spark, given.rain_documents(spark, sf_dir), given.weather_documents(spark, sf_dir), given.snapshots(spark, sf_dir), root
         )
-    return spark.read.parquet(f"{root}/{name}")
+    return tables.read(spark, f"{root}/{name}")
 
 
 @model(f"WITH {given.SQL_STATIONS} SELECT * FROM stations WHERE station_status = '{stations.EXISTING}'")
@@ -120,7 +121,7 @@ def model_refresh_twice(spark, sf_dir):
     root, docs = scratch_dir(spark), given.snapshots(spark, sf_dir)
     for part in (docs.where(FIRST_RUN.replace("TIMESTAMP {}", "TIMESTAMP_NTZ")), docs):
         refresh.refresh_measurements(spark, part, root)
-    return spark.read.parquet(f"{root}/hourly_measurements")
+    return tables.read(spark, f"{root}/hourly_measurements")
 
 
 def _from_bank(grain: str, word: str) -> None:

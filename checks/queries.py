@@ -63,7 +63,7 @@ def raw_load(spark, sf_dir):
         land_documents(events.where(part), f"{root}/landing")
         documents.raw_load(spark, f"{root}/landing", f"{root}/raw", "*.txt")
     documents.raw_load(spark, f"{root}/landing", f"{root}/raw", "*.txt")
-    return _readings_per_batch(spark.read.parquet(f"{root}/raw"), "raw_data")
+    return _readings_per_batch(tables.read(spark, f"{root}/raw"), "raw_data")
 
 
 @query
@@ -72,7 +72,7 @@ def stream_ingest(spark, sf_dir):
     for part in ("event_type = 'view'", "event_type <> 'view'"):
         land_documents(events.where(part), f"{root}/landing")
         ingest_available(spark, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint")
-    return _readings_per_batch(spark.read.parquet(f"{root}/raw"), "raw_data")
+    return _readings_per_batch(tables.read(spark, f"{root}/raw"), "raw_data")
 
 
 @query
@@ -84,7 +84,7 @@ def raw_load_after_stream(spark, sf_dir):
     land_documents(events.where("event_type <> 'view'"), f"{root}/landing")
     documents.raw_load(spark, f"{root}/landing", f"{root}/raw", "*.txt")
     ingest_available(spark, f"{root}/landing", f"{root}/raw", f"{root}/checkpoint")
-    return _readings_per_batch(spark.read.parquet(f"{root}/raw"), "raw_data")
+    return _readings_per_batch(tables.read(spark, f"{root}/raw"), "raw_data")
 
 
 # --- nested data --------------------------------------------------------------------------------
@@ -446,7 +446,7 @@ def full_refresh(spark, sf_dir):
     root, events = scratch_dir(spark), _events(spark, sf_dir)
     incremental.append_all(events, root)
     incremental.full_refresh(events, root)
-    return spark.read.parquet(root)
+    return tables.read(spark, root)
 
 
 @query
@@ -466,4 +466,4 @@ def delete_insert(spark, sf_dir):
     incremental.delete_insert(customers, root, "key")
     for _ in range(2):
         incremental.delete_insert(dearest.agg(F.max("o_totalprice").alias("balance")), root, "key")
-    return tables.read_version(spark, root)
+    return tables.read(spark, root)

@@ -52,14 +52,6 @@ def full_refresh(df: DataFrame, path: str) -> None:
     tables.overwrite(df, path)
 
 
-def merged(target: DataFrame | None, new: DataFrame, key: str) -> DataFrame:
-    """The target without the keys of ``new``, plus ``new`` (R-58).  NULL keys replace nothing."""
-    if target is None:
-        return new
-    keys = new.select(F.col(key).alias("__new")).where("__new IS NOT NULL").distinct()
-    return target.join(keys, F.col(key) == F.col("__new"), "left_anti").unionByName(new)
-
-
-def delete_insert(new: DataFrame, root: str, key: str) -> None:
-    """R-58 on a versioned table."""
-    tables.write_version(merged(tables.read_version(new.sparkSession, root), new, key), root)
+def delete_insert(new: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """R-58: the rows of the keys in ``new`` give way to it; buckets without such a key are not written.  NULL keys replace nothing."""
+    tables.replace_keys(new, path, key, buckets)

@@ -29,7 +29,7 @@ def refresh_measurements(spark: SparkSession, documents: DataFrame, root: str, f
     new = _staged(past_mark(measurements.measurements(documents), target, "measure_at"), root, "measurements")
     write = full_refresh if full else tables.append
     write(measurements.aggregated(new), bank_path)
-    bank = spark.read.parquet(bank_path)
+    bank = tables.read(spark, bank_path)
     for grain, word in GRAIN_WORD.items():
         path = f"{root}/{word}_measurements"
         if full:
@@ -50,7 +50,7 @@ def refresh_stations(
     geo = _staged(measurements.station_geo(snapshots), root, "station_geo")
     registries = _staged(stations.registries(rain_gauges, weather_stations), root, "registries")
     full_refresh(stations.with_geo(registries, geo), f"{root}/stations")
-    table = spark.read.parquet(f"{root}/stations")
+    table = tables.read(spark, f"{root}/stations")
     write = append_all if append else full_refresh
     write(stations.existing_stations(table), f"{root}/existing_stations")
     write(stations.revoked_stations(table), f"{root}/revoked_stations")
@@ -65,5 +65,5 @@ def refresh_decimals(
     extracted = spark.read.parquet(extracted_path)
     tables.append(decimals.weather_records(extracted, tables.read(spark, records_path)), records_path)
     directory = f"{root}/station_directory"
-    new = decimals.station_directory(extracted, raw_weather, raw_rain, tables.read_version(spark, directory))
+    new = decimals.station_directory(extracted, raw_weather, raw_rain, tables.read(spark, directory))
     delete_insert(new, directory, "StationID")

@@ -19,9 +19,10 @@ def ingest_available(
 ) -> None:
     """Append every document that arrived since the last call, then stop.
 
-    The checkpoint remembers which files were taken, whatever their age.  Batches are appended to a plain
-    raw table, the one that ``raw_load`` writes too; names it already has are left out, so a batch that is
-    repeated after a failure neither loses nor doubles a document.
+    The checkpoint remembers which files were taken, whatever their age.  The raw table, the one that
+    ``raw_load`` writes too, notes the last batch of each stream in the commit that adds its rows, so a batch
+    repeated after a failure is known before anything is read and neither loses nor doubles a document.  Names
+    that another load took are left out; only those between a batch's first and last name are looked at.
     """
     documents = (
         spark.readStream.format("text")
@@ -33,10 +34,22 @@ def ingest_available(
         .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("raw_data"))
     )
 
-    def take(batch: DataFrame, _: int) -> None:
-        loaded = tables.read(batch.sparkSession, raw_path)
-        new = batch if loaded is None else batch.join(loaded.select("filename").distinct(), "filename", "left_anti")
-        tables.append(new, raw_path)
-
-    query = documents.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = (
+        documents.writeStream.foreachBatch(lambda batch, number: take(batch, number, raw_path, checkpoint))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
     query.awaitTermination()
+
+
+def take(batch: DataFrame, number: int, raw_path: str, stream: str) -> None:
+    """Add a batch to the raw table, once."""
+    spark = batch.sparkSession
+    state = tables.state(spark, raw_path)
+    if state is not None and state.get("streams", {}).get(stream, -1) >= number:
+        return
+    low, high = batch.agg(F.min("filename"), F.max("filename")).first()  # reads names alone
+    loaded = None if low is None else tables.read_between(spark, raw_path, "filename", low, high)
+    new = batch if loaded is None else batch.join(loaded.select("filename").distinct(), "filename", "left_anti")
+    tables.append_named(new, raw_path, "filename", {stream: number})

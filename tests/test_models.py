@@ -181,9 +181,9 @@ def test_refresh_stations_twice(spark, three, tmp_path):
     rain, weather, geo = three
     for _ in range(2):
         refresh.refresh_stations(spark, rain, weather, geo, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/existing_stations").count() == 1
+    assert tables.read(spark, f"{tmp_path}/existing_stations").count() == 1
     refresh.refresh_stations(spark, rain, weather, geo, str(tmp_path), append=True)
-    assert spark.read.parquet(f"{tmp_path}/existing_stations").count() == 2
+    assert tables.read(spark, f"{tmp_path}/existing_stations").count() == 2
 
 
 def test_decimal_models(spark, tmp_path):
@@ -191,12 +191,12 @@ def test_decimal_models(spark, tmp_path):
     rain = documents(spark, [{"Data": [rain_station("C0A520")]}], "raw_data")
     weather = documents(spark, [registry(weather_station("466920", Notes="kept", status="已撤銷"))], "raw_data")
     refresh.refresh_decimals(spark, raw, weather, rain, str(tmp_path))
-    extracted = spark.read.parquet(f"{tmp_path}/extracted_records")
+    extracted = tables.read(spark, f"{tmp_path}/extracted_records")
     assert len(extracted.columns) == 17 and dict(extracted.dtypes)["WindSpeed"] == "decimal(10,2)"
     row = extracted.where("StationId = 'C0A520'").first()
     assert row.AirTemperature == Decimal("-99.00") and row.WindSpeed == Decimal("2.35") and row.Visibility == "-99"
     assert json.loads(row.StationFieldsInfo) == [{"id": "f"}] and json.loads(row.GeoInfo)["CountyCode"] == "10"
-    directory = {r.StationID: r for r in tables.read_version(spark, f"{tmp_path}/station_directory").collect()}
+    directory = {r.StationID: r for r in tables.read(spark, f"{tmp_path}/station_directory").collect()}
     assert directory["466920"].StationStatus == "已撤銷" and directory["466920"].Notes == "kept"
     assert directory["C0A520"].StationStatus == "現存測站" and directory["C0A520"].Notes == ""
     assert directory["C0A520"].StationLatitude == 25.1 and json.loads(directory["C0A520"].Coordinates_WGS84)["StationLatitude"] == 25.2
@@ -207,9 +207,9 @@ def test_decimal_models(spark, tmp_path):
         "raw_data",
     )
     refresh.refresh_decimals(spark, again, weather, rain, str(tmp_path))
-    assert spark.read.parquet(f"{tmp_path}/extracted_records").count() == 3
-    assert spark.read.parquet(f"{tmp_path}/weather_records").count() == 3
-    names = sorted(r.StationID for r in tables.read_version(spark, f"{tmp_path}/station_directory").collect())
+    assert tables.read(spark, f"{tmp_path}/extracted_records").count() == 3
+    assert tables.read(spark, f"{tmp_path}/weather_records").count() == 3
+    names = sorted(r.StationID for r in tables.read(spark, f"{tmp_path}/station_directory").collect())
     assert names == ["466920", "C0A520", "N"]
 
 
@@ -224,13 +224,13 @@ def test_refresh_measurements_truncates_until_full(spark, tmp_path):
     refresh.refresh_measurements(spark, documents(spark, everything), str(tmp_path))
 
     def hourly():
-        rows = spark.read.parquet(f"{tmp_path}/hourly_measurements").orderBy("measure_at").collect()
+        rows = tables.read(spark, f"{tmp_path}/hourly_measurements").orderBy("measure_at").collect()
         return [(r.measure_at.hour, r.air_temperature, r.air_temperaturemax, r.precipitation_sum) for r in rows]
 
     # The frame that began in the first batch was cut off there and stays so.
     assert hourly() == [(0, 30.0, 60.0, 7.0), (1, 90.0, 120.0, 7.0), (2, 120.0, 120.0, 1.0), (3, 210.0, 240.0, 7.0), (4, 245.0, 250.0, 2.0)]
     refresh.refresh_measurements(spark, documents(spark, everything), str(tmp_path), full=True)
     assert hourly()[2] == (2, 150.0, 180.0, 7.0)
-    columns = spark.read.parquet(f"{tmp_path}/monthly_measurements").columns
+    columns = tables.read(spark, f"{tmp_path}/monthly_measurements").columns
     assert len(columns) == 17 and "sunshine_duration" in columns and "peak_gust_speedmax" in columns
-    assert len(spark.read.parquet(f"{tmp_path}/aggregated_measurements").columns) == 68
+    assert len(tables.read(spark, f"{tmp_path}/aggregated_measurements").columns) == 68

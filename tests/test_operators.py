@@ -16,6 +16,7 @@ from gaugeworks.operators.joins import full_outer, not_in
 from gaugeworks.operators.marts import mart, mart_from_bank
 from gaugeworks.operators.mode import forward_mode
 from gaugeworks.sources import documents, tables
+from gaugeworks.streaming import ingest
 from gaugeworks.streaming.ingest import ingest_available
 
 INTERVALS = ["10 seconds", "90 minutes", "1 hour", "3 hours", "1 day", "1 week", "1 month", "2 months"]
@@ -137,7 +138,7 @@ def test_plans(spark, readings):
 def test_mark_reaches_the_scan(spark, readings, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(readings, path)
-    stored = spark.read.parquet(path)
+    stored = tables.read(spark, path)
     plan = incremental.past_mark(stored, stored.where("k = 1"), "ts")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts,ScalarSubquery" in plan
 
@@ -150,7 +151,7 @@ def test_versions_survive_a_failed_write(spark, tmp_path):
     failing = old.withColumn("x", F.raise_error(F.lit("lost")))
     with pytest.raises(Exception, match="lost"):
         incremental.delete_insert(failing, root, "k")
-    rows = {(r.k, r.x) for r in tables.read_version(spark, root).collect()}
+    rows = {(r.k, r.x) for r in tables.read(spark, root).collect()}
     assert rows == {(1, "a"), (2, "new"), (3, "c"), (None, "n")}
 
 
@@ -159,14 +160,14 @@ def test_raw_load_takes_each_file_once(spark, tmp_path):
     landing.mkdir()
     (landing / "not taken.txt").write_text("x")
     documents.raw_load(spark, str(landing), raw, "*.json")
-    assert spark.read.parquet(raw).columns == ["filename", "raw_data"] and spark.read.parquet(raw).isEmpty()
+    assert tables.read(spark, raw).columns == ["filename", "raw_data"] and tables.read(spark, raw).isEmpty()
     runs = (["first one.json"], ["second.json", "[3]{a,b}*.json", "3.json", "100%20?.json"], ["third.json"])
     for names in runs:
         for name in names:
             (landing / name).write_text(f'{{"a":\n "{name}"}}')
         for _ in range(2):
             documents.raw_load(spark, str(landing), raw, "*.json", at_once=3)
-    rows = spark.read.parquet(raw).collect()
+    rows = tables.read(spark, raw).collect()
     assert len({r.filename for r in rows}) == 6
     assert sorted(r.raw_data for r in rows) == sorted(f'{{"a":\n "{name}"}}' for names in runs for name in names)
 
@@ -190,7 +191,7 @@ def test_stream_takes_whole_documents_once(spark, tmp_path):
             os.utime(landing / name, (1.6e9, 1.6e9))
         for _ in range(2):
             ingest_available(spark, str(landing), raw, checkpoint)
-    rows = spark.read.parquet(raw).collect()
+    rows = tables.read(spark, raw).collect()
     assert len(rows) == 3 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
 
 
@@ -234,4 +235,113 @@ def test_failing_refresh_keeps_the_old_table(spark, tmp_path):
     incremental.full_refresh(old, path)
     with pytest.raises(Exception, match="lost"):
         incremental.full_refresh(old.select(F.raise_error(F.lit("lost")).cast("int").alias("k")), path)
-    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2]
+    assert sorted(r.k for r in tables.read(spark, path).collect()) == [1, 2]
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    incremental.delete_insert(spark.range(1000).selectExpr("id AS k", "0 AS x"), path, "k")
+    before = {f["path"] for f in tables.state(spark, path)["folders"]}
+    incremental.delete_insert(spark.createDataFrame([(5, 1), (6, 1), (None, 2)], "k bigint, x int"), path, "k")
+    after = tables.state(spark, path)["folders"]
+    assert len({f["path"] for f in after} - before) <= 3 and len(after) <= 65
+    rows = {(r.k, r.x) for r in tables.read(spark, path).collect()}
+    assert rows == {(k, int(k in (5, 6))) for k in range(1000)} | {(None, 2)}
+    incremental.delete_insert(spark.createDataFrame([], "k bigint, x int"), path, "k")
+    assert tables.read(spark, path).count() == 1001
+
+
+def test_replaced_then_bucketed_then_appended(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+    tables.append(rows, path)
+    tables.overwrite(tables.read(spark, path).unionByName(rows.selectExpr("k + 2 AS k", "x")), path)  # reads what it replaces
+    incremental.delete_insert(spark.createDataFrame([(3, "c")], "k int, x string"), path, "k")
+    tables.append(spark.createDataFrame([(3, "again")], "k int, x string"), path)
+    incremental.delete_insert(spark.createDataFrame([(1, "z")], "k int, x string"), path, "k")
+    assert sorted((r.k, r.x) for r in tables.read(spark, path).collect()) == [(1, "z"), (2, "b"), (3, "again"), (3, "c"), (4, "b")]
+
+
+@pytest.mark.parametrize("change", ["overwrite", "append", "replace_keys"])
+def test_a_job_that_dies_at_any_call_leaves_the_old_or_the_new_table(spark, tmp_path, monkeypatch, change):
+    """Stops before each call that writes, renames or deletes, one run after another."""
+    old, new = [spark.createDataFrame(rows, "k int, x string") for rows in ([(1, "a"), (2, "b")], [(2, "c"), (3, "d")])]
+    wanted = {"overwrite": [(2, "c"), (3, "d")], "append": [(1, "a"), (2, "b"), (2, "c"), (3, "d")], "replace_keys": [(1, "a"), (2, "c"), (3, "d")]}
+    args = (new, "k") if change == "replace_keys" else (new,)
+    contents = lambda path: sorted((r.k, r.x) for r in tables.read(spark, path).collect())
+    real, seen = tables.filesystem, []
+    for allowed in range(40):
+        path = str(tmp_path / f"t{allowed}")
+        tables.overwrite(old, path)
+        calls = iter(range(allowed))
+
+        class Failing:
+            def __init__(self, fs):
+                self.fs = fs
+
+            def __getattr__(self, name):
+                if name in ("create", "rename", "delete"):
+                    next(calls)  # StopIteration is the end of the job
+                return getattr(self.fs, name)
+
+        monkeypatch.setattr(tables, "filesystem", lambda s, p: (Failing(real(s, p)[0]), real(s, p)[1]))
+        try:
+            getattr(tables, change)(args[0], path, *args[1:])
+            done = True
+        except StopIteration:
+            done = False
+        monkeypatch.setattr(tables, "filesystem", real)
+        seen.append(contents(path))
+        assert seen[-1] in ([(1, "a"), (2, "b")], wanted[change])
+        if done:
+            break
+        getattr(tables, change)(args[0], path, *args[1:])  # the next run carries on
+    assert done and seen[0] == [(1, "a"), (2, "b")] and seen[-1] == wanted[change] and len(seen) > 2
+
+
+def test_second_writer_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1,)], "k int")
+    tables.overwrite(rows, path)
+    now = tables.state(spark, path)
+    tables.append(rows, path)
+    with pytest.raises(RuntimeError, match="another writer"):
+        tables.commit(spark, path, {**now, "number": now["number"] + 1}, now)
+
+
+def test_repeated_batch_adds_nothing_and_batches_read_their_own_names(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    batch = lambda *names: spark.createDataFrame([(n, "{}") for n in names], "filename string, raw_data string")
+    ingest.take(batch("2024-01-01/a", "2024-01-01/b"), 0, raw, "s")
+    ingest.take(batch("2024-01-02/a"), 1, raw, "s")
+    ingest.take(batch("2024-01-02/a"), 1, raw, "s")
+    ingest.take(batch("2024-01-02/a", "2024-01-03/a"), 0, raw, "other")
+    assert sorted(r.filename for r in tables.read(spark, raw).collect()) == ["2024-01-01/a", "2024-01-01/b", "2024-01-02/a", "2024-01-03/a"]
+    near = tables.read_between(spark, raw, "filename", "2024-01-02/a", "2024-01-02/z")
+    assert len({f.rsplit("/", 1)[0] for f in near.inputFiles()}) == 1 and near.count() == 1
+
+
+def test_raw_load_scans_new_folders_whole_and_skips_closed_ones(spark, tmp_path):
+    landing, raw = tmp_path / "landing", str(tmp_path / "raw")
+
+    def put(*names):
+        for name in names:
+            (landing / name).parent.mkdir(parents=True, exist_ok=True)
+            (landing / name).write_text(name)
+
+    def loaded():
+        rows = [r.raw_data for r in tables.read(spark, raw).collect()]
+        assert len(rows) == len(set(rows))
+        return set(rows)
+
+    put("d1/a.json", "d1/b.json", "d2/a.json", "d2/sub/c.json", "d2/no.txt")
+    documents.raw_load(spark, str(landing), raw, "*.json")
+    assert loaded() == {"d1/a.json", "d1/b.json", "d2/a.json", "d2/sub/c.json"}
+    put("d2/sub/d.json", "d3/a.json", "d3/sub/x/y.json", "d1/late.json", "top.json", "d4/sub/z.json")
+    documents.raw_load(spark, str(landing), raw, "*.json", since="d2")
+    assert "d1/late.json" not in loaded() and "top.json" in loaded() and len(loaded()) == 9
+    put("d4/a.json")
+    documents.raw_load(spark, str(landing), raw, "*.json")
+    assert loaded() >= {"d1/late.json", "d4/a.json"} and len(loaded()) == 11
+    documents.raw_load(spark, str(landing), raw, "*.json")
+    assert len(loaded()) == 11
