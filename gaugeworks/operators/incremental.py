@@ -52,6 +52,6 @@ def full_refresh(df: DataFrame, path: str) -> None:
     tables.overwrite(df, path)
 
 
-def delete_insert(new: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+def delete_insert(new: DataFrame, path: str, key: str, buckets: int | None = None) -> None:
     """R-58: the rows of the keys in ``new`` give way to it; buckets without such a key are not written.  NULL keys replace nothing."""
     tables.replace_keys(new, path, key, buckets)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 LOG, BUCKET = "_log", "__bucket"
 KEPT = 2  # states whose folders stay for readers under way
+BUCKET_ROWS = 100_000
 
 
 def filesystem(spark: SparkSession, path: str):
@@ -164,20 +165,22 @@ def overwrite(df: DataFrame, path: str) -> None:
     commit(df.sparkSession, path, {"folders": [_written(df, path)], "number": (now or {"number": -1})["number"] + 1}, now)
 
 
-def replace_keys(new: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+def replace_keys(new: DataFrame, path: str, key: str, buckets: int | None = None) -> None:
     """Delete the rows whose key ``new`` has and insert ``new``, rewriting only the buckets that its keys fall in.
 
-    Rows are dealt to buckets by the hash of the key; the number is fixed by the first run.  NULL keys replace nothing.
+    Rows are dealt to buckets by the hash of the key; the number is fixed by the first run, by default one for
+    each BUCKET_ROWS rows of it and from 4 to 4,096.  NULL keys replace nothing.
     """
     spark = new.sparkSession
     now = state(spark, path)
     before = now or {"folders": [_written(spark.read.parquet(path), path)] if exists(spark, path) else []}
-    before = {"buckets": buckets, **before}
-    bucket = F.pmod(F.xxhash64(key), F.lit(before["buckets"])).cast("int")
     folder = f"_data-{uuid.uuid4().hex}"
-    _dealt(new, bucket, f"{path}/{folder}-new")  # computed once; a folder for each bucket that changes
-    touched = {f["bucket"] for f in _bucket_folders(spark, path, f"{folder}-new")}
-    rows = spark.read.schema(new.schema).parquet(f"{path}/{folder}-new").select(*new.columns)
+    new.write.parquet(f"{path}/{folder}-new")  # computed once
+    rows = spark.read.schema(new.schema).parquet(f"{path}/{folder}-new")
+    if "buckets" not in before:
+        before = {**before, "buckets": buckets or min(4096, max(4, rows.count() // BUCKET_ROWS))}
+    bucket = F.pmod(F.xxhash64(key), F.lit(before["buckets"])).cast("int")
+    touched = {r[0] for r in rows.select(bucket).distinct().collect()}  # the number of buckets at most
     old = _folders(spark, path, [f for f in before["folders"] if f.get("bucket") is None or f["bucket"] in touched])
     if old is not None:
         keys = rows.select(F.col(key).alias("__new")).where("__new IS NOT NULL").distinct()

@@ -4,11 +4,12 @@ import datetime as dt
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import round2
-from gaugeworks.operators import incremental
+from gaugeworks.operators import incremental, mode
 from gaugeworks.operators.bank import window_bank
 from gaugeworks.operators.dedup import keep_first
 from gaugeworks.operators.frames import Frame, forward_frames
@@ -345,3 +346,53 @@ def test_raw_load_scans_new_folders_whole_and_skips_closed_ones(spark, tmp_path)
     assert loaded() >= {"d1/late.json", "d4/a.json"} and len(loaded()) == 11
     documents.raw_load(spark, str(landing), raw, "*.json")
     assert len(loaded()) == 11
+
+
+def test_best_cover_against_brute_force():
+    rng = np.random.default_rng(4)
+    for places in (1, 2, 7, 64, 100):
+        low = rng.integers(0, places, 60)
+        high = np.minimum(low + rng.integers(1, places + 1, 60), places)
+        rank = rng.integers(0, 1000, 60)
+        wanted = [max([int(r) for a, b, r in zip(low, high, rank) if a <= p < b], default=-1) for p in range(places)]
+        assert mode.best_cover(low, high, rank, places).tolist() == wanted
+    assert mode.best_cover(*[np.zeros(0, "i8")] * 3, 3).tolist() == [-1] * 3
+
+
+@pytest.mark.parametrize("stretch", [1, 50, 1 << 17])
+def test_mode_in_stretches_against_brute_force(spark, monkeypatch, stretch):
+    """One key holds most rows, many of them at one instant; stretches end inside slices."""
+    pick = random.Random(6)
+    base = dt.datetime(2024, 1, 5)
+    given = [("a", base + dt.timedelta(seconds=pick.choice([0, 0, pick.randrange(20000)])), pick.choice([None, float("nan"), *map(float, range(6))])) for _ in range(400)]
+    given += [(None, base + dt.timedelta(minutes=i), float(i % 3)) for i in range(50)] + [("b", None, 1.0), ("b", base, None)]
+    rows = spark.createDataFrame(given, "k string, ts timestamp_ntz, v double")
+    # the function is shipped to workers, so the length of a stretch travels with it
+    sweep = mode._sweep
+
+    def short(group):
+        inner = sweep(group)
+
+        def answers(batches):
+            from gaugeworks.operators import mode as here
+
+            here.STRETCH = stretch
+            yield from inner(part.iloc[i : i + 7] for part in batches for i in range(0, len(part), 7))
+
+        return answers
+
+    monkeypatch.setattr(mode, "_sweep", short)
+    found = [tuple(r) for r in forward_mode(rows, "v", "ts", "1 hour", "m", ["k"]).collect()]
+
+    def wanted(k, ts):
+        counts = {}
+        for k2, t2, v in given:
+            if k2 == k and v is not None and (t2 == ts if ts is None or t2 is None else ts <= t2 <= ts + dt.timedelta(hours=1)):
+                key = (True, 0.0) if v != v else (False, v)
+                counts[key] = counts.get(key, 0) + 1
+        best = min(counts, key=lambda key: (-counts[key], key), default=None)
+        return None if best is None else "nan" if best[0] else best[1]
+
+    assert len(found) == len(given)
+    for k, ts, _, m in found:
+        assert (str(m) if m is not None and m != m else m) == wanted(k, ts)
