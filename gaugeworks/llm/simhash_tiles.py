@@ -113,28 +113,32 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     texts without a word have fingerprint zero, linked like any other. Repeated rows and rows that share a
     doc_id each give a row. A null doc_id is no smallest id: a component of such rows alone has null.
     """
+    return _rooted(documents, shingle, radius).select("doc_id", "fp", "component_id")
+
+
+def _rooted(documents: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for each row; the root of a component is its smallest fingerprint."""
     rows = saved(documents.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(least, radius)).withColumnRenamed("node", "fp")
     rooted = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     components = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(components, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(components, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp")
 
 
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each component, columns unchanged: that of its smallest doc_id.
+    """One row of each component, columns unchanged: that of its smallest doc_id, or one of those without a doc_id if all are.
 
-    Of rows that share that doc_id one stays. Rows without a doc_id go if their component has a row with one;
-    otherwise one for each fingerprint stays.
+    Components are those of the links, not of doc_ids: rows that share a doc_id but are no near copies stay
+    beside each other. Of rows equal in doc_id and fingerprint one stays.
     """
     taken = documents.columns
     fp, key = fresh(taken, "kept_fp"), fresh(taken, "kept_key")
-    found = near_duplicates(documents, shingle, radius)
-    named = found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("fp").alias("fp"))
-    unnamed = found.where("component_id IS NULL").select("doc_id", "fp").distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp")).alias("least")
     identity = lambda doc_id, fp: F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), fp)
-    kept = named.union(unnamed).select(identity(F.col("doc_id"), F.col("fp")).alias(key))
+    chosen = _rooted(documents, shingle, radius).groupBy("root").agg(least)
+    kept = chosen.select(identity(F.col("least.doc_id"), F.col("least.fp")).alias(key))
     rows = documents.withColumn(fp, fingerprint(F.col("text"), shingle))
     rows = rows.withColumn(key, identity(F.col("doc_id").cast("long"), F.col(fp)))
     return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(fp, key)

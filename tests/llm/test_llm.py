@@ -350,22 +350,86 @@ def test_temperature_fits_overconfident_scores():
 
 
 def test_licenses(spark, documents):
+    mit = license_zstd.TEMPLATES["mit-license"]
+    first, second = mit.split("The above copyright")
     texts = {
         1: "intro\nReleased under the MIT License.\nmore",
         2: "Licensed under the Apache License,\nVersion 2.0.",
         3: "licensed under the apache license, version 1.1.",
         4: "Permission is hereby granted to sit down. No license.",
-        5: license_zstd.TEMPLATES["mit-license"].replace("charge", "any charge"),
+        5: mit.replace("charge", "any charge"),
         6: "This work is licensed under the GNU General Public License, version 3. Licensed under CC BY-NC 4.0.",
         7: None,
+        8: f"{first}\n\nThe above copyright{second}",
+        9: "word " * 50000 + "// All rights\n// reserved.",
+        10: "All rights reserved. " * 3000,
     }
     found = license_zstd.scan_licenses(queries_schema(spark, list(texts.items()))).collect()
-    assert {(r.doc_id, r.license) for r in found} >= {(1, "mit-notice"), (2, "apache-2.0-notice"), (5, "mit-license"), (6, "gpl-3.0-notice")}
-    assert not {r.doc_id for r in found} & {3, 4, 7}
+    assert {(r.doc_id, r.license) for r in found} == {
+        (1, "mit-notice"), (2, "apache-2.0-notice"), (5, "mit-license"), (6, "gpl-3.0-notice"), (6, "cc-by-nc-4.0-notice"), (8, "mit-license"),
+        (9, "all-rights-reserved"), (10, "all-rights-reserved"),
+    }
+    assert [(r.missing, r.extra) for r in found if r.doc_id in (5, 8)] == [(0, 1), (0, 0)]
+    assert sorted(r.start for r in found if r.doc_id == 10) == list(range(0, 63000, 21))
     assert next(texts[1][r.start : r.end] for r in found if r.doc_id == 1) == "Released under the MIT License"
     assert license_zstd.scan_licenses(empty(documents)).count() == 0 and license_zstd.scan_licenses(documents).columns[0] == "doc_id"
 
 
+def test_licenses_at_every_place():
+    """Each template at each word position of a long line, cut into small blocks too, is found where it was put."""
+    scanner = license_zstd.Scanner(license_zstd.TEMPLATES)
+    host = "the committee agreed that any such matter under the public law of the land may be granted or refused by the person in charge " * 20
+    host = host.split()
+    for name, template in license_zstd.TEMPLATES.items():
+        for at in range(0, len(host), 7):
+            before = " ".join(host[:at])
+            (one,) = scanner.scan(f"{before} {template} {' '.join(host[at:])}")
+            assert one["license"] == name and one["start"] == len(before) + 1 and (one["missing"], one["extra"]) == (0, 0)
+            assert license_zstd.words(f"{before} {template}"[one["start"] : one["end"]] + ".") == scanner.words[name]
+
+
+def test_license_differences_are_least():
+    """Altered templates against plain dynamic programming over every stretch of the text."""
+    rng = random.Random(5)
+    scanner = license_zstd.Scanner(license_zstd.TEMPLATES)
+    for name in ("isc", "gpl-header", "mpl-2.0-header"):
+        template, allowed = scanner.words[name], scanner.allowed[name]
+        for edits in range(0, 14):
+            text = list(template)
+            for _ in range(edits):
+                i = rng.randrange(len(text))
+                text[i : i + 1] = rng.choice([[], [text[i], "other"], [text[i], rng.choice(template)]])
+            text = ["far", "off"] + text + ["after", "that"]
+            best = min(_indels(text[a:], template) for a in range(len(text)))
+            found = scanner.confirm(text, name)
+            assert bool(found) == (best <= allowed), (name, edits)
+            if found:
+                assert found[0][2] + found[0][3] == best
+
+
+def _indels(text, template):
+    """Least number of words left out or put in between `template` and any beginning of `text`; digits are never left out."""
+    row = list(range(len(template) + 1))
+    for i, word in enumerate(template):
+        row[i + 1] = row[i] + (10**6 if any(c.isdigit() for c in word) else 1)
+    row[0], best = 0, row[-1]
+    for n, word in enumerate(text, start=1):
+        new = [n]
+        for i, wanted in enumerate(template):
+            skip = 10**6 if any(c.isdigit() for c in wanted) else 1
+            new.append(min(new[i] + skip, row[i + 1] + 1, row[i] if word == wanted else 10**6))
+        row, best = new, min(best, new[-1])
+    return best
+
+
+def test_near_duplicates_keep_one_row_a_component(spark):
+    """Rows that share a doc_id in two components, and rows without one."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in ("red", "blue", "green"))
+    rows = [(7, a), (8, a), (7, b), (9, b), (None, c), (None, c), (None, a)]
+    kept = simhash_tiles.keep_one(queries_schema(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(7, a), (7, b), (0, c)])
+
+
 def test_pipeline_stages(spark, documents):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, before = docs.columns, docs.count()
