@@ -74,7 +74,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
     components take no part. Vectors may differ in length; the shorter of two counts as continued by zeros.
     Rows that share a vec_id are one candidate, with the greatest score. Ties go to the smaller vec_id. An
     empty table gives no rows. Buckets are read block by block, however many vectors they hold. Where the
-    buckets hold less than LEAST_RECALL of what MEASURED queries should find, the result is exact.
+    buckets hold less than LEAST_RECALL of what MEASURED queries should find, the result is exact; otherwise it
+    is for queries that found fewer than k, or than all candidates.
     """
     v = F.col("embedding").cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
@@ -82,7 +83,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"), F.coalesce(fine, F.lit(False)).alias("fine"))
     rows = rows.where("fine")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x))
-    known = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("n"), F.count_if("asks").alias("asks")).first()
+    known = rows.agg(F.max(F.size("v")).alias("width"), F.max(norm).alias("norm"), F.count("*").alias("n"), F.count_if("asks").alias("asks"), F.count_distinct("vec_id").alias("ids")).first()
     if not known.asks:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     width = known.width
@@ -133,8 +134,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
             ask_ids, asks = queries.column("vec_id").to_numpy(), _matrix(queries.column("v").combine_chunks(), width)
             order = np.argsort(ids, kind="stable")
             ids, values = ids[order], values[order]
+            firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))  # rows of one id are one candidate
+            ids = ids[firsts]
             for at in range(0, len(asks), 256):
-                scores = asks[at : at + 256] @ values.T
+                scores = np.maximum.reduceat(asks[at : at + 256] @ values.T, firsts, axis=1)
                 scores[ask_ids[at : at + 256, None] == ids[None]] = -np.inf
                 most = min(k, len(ids))
                 least = -np.partition(-scores, most - 1, axis=1)[:, most - 1 : most]
@@ -170,7 +173,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = TABL
     recall = met.agg(F.count("met") / F.count("*")).first()[0]
     if recall is not None and recall < LEAST_RECALL:
         return exact(asks, known.asks)
-    return found
+    due = min(k, known.ids - 1)
+    enough = saved(found.groupBy("query_id").count().where(F.col("count") >= due).select("query_id"), "enough")
+    short = saved(asks.join(enough, F.col("vec_id") == F.col("query_id"), "left_anti"), "short")
+    n_short = short.count()
+    return found.join(enough, "query_id", "left_semi").select(found.columns).union(exact(short, n_short)) if n_short else found
 
 
 def _greatest(pairs: DataFrame) -> DataFrame:

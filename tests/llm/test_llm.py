@@ -422,6 +422,25 @@ def _indels(text, template):
     return best
 
 
+def test_nearest_with_repeated_ids(spark):
+    """One id repeated as often as or more often than a query has places takes one of them; no query goes short."""
+    rng = np.random.default_rng(1)
+    for times in (19, 20, 30):
+        values = rng.normal(size=(38, 8)) * 0.02 + 1
+        ids = list(range(1, 39))
+        rows = [(i, v.tolist()) for i, v in zip(ids, values)] + [(5, (values[4] * 1.5).tolist())] * times
+        frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        best = {}
+        for i, v in rows:
+            best.setdefault(i, []).append(np.array(v))
+        found = collections.defaultdict(list)
+        for r in cross_polytope.search(frame, F.col("vec_id") % 20 == 0, k=20).orderBy("query_id", "rank").collect():
+            found[r.query_id].append(r.vec_id)
+        (query,) = found
+        scores = {i: max(float(values[query - 1] @ v) for v in vs) for i, vs in best.items() if i != query}
+        assert found[query] == sorted(scores, key=lambda i: (-scores[i], i))[:20]
+
+
 def test_near_duplicates_keep_one_row_a_component(spark):
     """Rows that share a doc_id in two components, and rows without one."""
     a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in ("red", "blue", "green"))
