@@ -36,6 +36,12 @@ ORACLE["distinct_nested"] = (
     "SELECT DISTINCT json_extract_string(props, '$.k') AS k, replace(props, ' ', '') AS whole FROM events"
 )
 
+ORACLE["distinct_nested_numbers"] = """SELECT DISTINCT '{"a":"1.0","b":[' || CAST(l_orderkey % 50 AS VARCHAR) || ',1.5]}' AS part
+    FROM lineitem"""
+ORACLE["quarantine_malformed"] = """SELECT event_id, value FROM (
+    SELECT event_id, CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1) ELSE props END AS value FROM events)
+    WHERE value IS NOT NULL AND NOT json_valid(value)"""
+
 ORACLE["project_rename"] = "SELECT event_type AS kind, ts AS measure_at, event_id AS id FROM events"
 ORACLE["star_exclude"] = "SELECT * EXCLUDE (props) FROM events"
 for _name, _rule in {
@@ -66,6 +72,9 @@ ORACLE["full_outer_two"] = TWO
 ORACLE["full_outer_three"] = f"""SELECT coalesce(l.station_id, r.k) AS station_id, coalesce(l.name, r.n_name) AS name,
     l.balance, l.nation_id, r.n_regionkey AS region_id
     FROM ({TWO}) l FULL OUTER JOIN (SELECT n_nationkey - 60 AS k, * FROM nation) r ON l.station_id = r.k"""
+ORACLE["full_outer_heavy_key"] = """SELECT coalesce(l.k, c_custkey) AS station_id, o_orderkey, c_name
+    FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey * 2 END AS k, o_orderkey FROM orders) l
+    FULL OUTER JOIN customer ON l.k = c_custkey"""
 for _name, _status in {"existing_stations": "O", "revoked_stations": "F"}.items():
     ORACLE[_name] = f"""SELECT coalesce(c_custkey, o_custkey) AS station_id, c_name AS station_name, o_orderkey,
         o_orderstatus AS station_status FROM customer FULL OUTER JOIN orders ON c_custkey = o_custkey

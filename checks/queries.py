@@ -17,7 +17,7 @@ from gaugeworks.operators.frames import Frame, forward_frames
 from gaugeworks.operators.joins import full_outer, not_in
 from gaugeworks.operators.marts import GRAIN_INTERVAL, at_boundary, mart, rename_by_pattern, select_by_suffix
 from gaugeworks.operators.mode import forward_mode
-from gaugeworks.operators.nested import field, flatten, flatten_two_level, parse_documents, subdocument
+from gaugeworks.operators.nested import field, flatten, flatten_two_level, malformed_documents, parse_documents, subdocument
 from gaugeworks.sources import documents, tables
 from gaugeworks.streaming.ingest import ingest_available
 
@@ -165,6 +165,22 @@ def distinct_nested(spark, sf_dir):
     return docs.select(subdocument(F.col("doc"), "k").alias("k"), F.to_json("doc").alias("whole")).distinct()
 
 
+@query
+def distinct_nested_numbers(spark, sf_dir):
+    """Distinct sub-documents whose numbers are spelled in several ways."""
+    n = "cast(l_orderkey % 50 AS string)"
+    spelled = f"CASE l_linenumber % 3 WHEN 0 THEN {n} WHEN 1 THEN {n} || '.0' ELSE {n} || 'e0' END"
+    lines = table(spark, sf_dir, "lineitem").selectExpr(f"""'{{"part":{{"b":[' || {spelled} || ',1.5],"a":"1.0"}}}}' AS value""")
+    return parse_documents(lines).select(subdocument("doc", "part").alias("part")).distinct()
+
+
+@query
+def quarantine_malformed(spark, sf_dir):
+    """Documents that do not parse; one in seven is cut short."""
+    cut = F.expr("CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1) ELSE props END")
+    return malformed_documents(table(spark, sf_dir, "events").select("event_id", cut.alias("value")))
+
+
 # --- projections and cleaning -------------------------------------------------------------------
 
 
@@ -268,6 +284,17 @@ def full_outer_three(spark, sf_dir):
     )
 
 
+@query
+def full_outer_heavy_key(spark, sf_dir):
+    """A third of the left rows share a key."""
+    key = F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey * 2 END").alias("station_id")
+    left = table(spark, sf_dir, "orders").select(key, "o_orderkey")
+    right = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"), "c_name")
+    return full_outer(left, right, "station_id", spread=16).select(
+        cleaning.first_present("l.station_id", "r.station_id").alias("station_id"), "l.o_orderkey", "r.c_name"
+    )
+
+
 def _stations_by_status(status: str) -> Query:
     def run(spark, sf_dir):
         left = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name")

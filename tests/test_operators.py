@@ -1,11 +1,13 @@
 """Operators against brute force on small data."""
 
 import datetime as dt
+import json
 import os
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.cleaning import round2
@@ -13,9 +15,10 @@ from gaugeworks.operators import incremental, mode
 from gaugeworks.operators.bank import window_bank
 from gaugeworks.operators.dedup import keep_first
 from gaugeworks.operators.frames import Frame, forward_frames
-from gaugeworks.operators.joins import full_outer, not_in
+from gaugeworks.operators.joins import _heavy_keys, _placed, full_outer, not_in
 from gaugeworks.operators.marts import mart, mart_from_bank
 from gaugeworks.operators.mode import forward_mode
+from gaugeworks.operators.nested import canonical_json, malformed_documents, parse_documents, subdocument
 from gaugeworks.sources import documents, tables
 from gaugeworks.streaming import ingest
 from gaugeworks.streaming.ingest import ingest_available
@@ -121,6 +124,47 @@ def test_full_outer_and_not_in(spark):
         assert sorted(map(str, not_in(left, "k", spark.sql(keys), "k").collect())) == sorted(map(str, wanted))
 
 
+@pytest.mark.parametrize("hot_left,hot_right", [(300, 2), (2, 300), (60, 60), (300, 0), (0, 300)])
+def test_full_outer_spreads_a_heavy_key(spark, hot_left, hot_right):
+    """A key with most of a side's rows is dealt to several tasks; every row pairs, or stays alone, as in one join."""
+    left = spark.createDataFrame([(7, f"l{i}") for i in range(hot_left)] + [(i, "x") for i in range(100, 350)] + [(None, "n")], "k int, x string")
+    right = spark.createDataFrame([(7, i) for i in range(hot_right)] + [(i, i) for i in range(200, 450)] + [(None, 1)], "k int, y int")
+    found = full_outer(left, right, "k", spread=8)
+    assert sorted(map(str, found.collect())) == sorted(map(str, full_outer(left, right, "k").collect()))
+    placed = _placed(left.selectExpr("k", "struct(x) AS l"), "l", "k", _heavy_keys(left, "k"), _heavy_keys(right, "k"), True, 8)
+    places = {r[-1] for r in placed.where("k = 7").collect()}
+    assert len(places) == (0 if not hot_left else 8)
+
+
+def test_canonical_json(spark):
+    """Equal numbers are spelled alike in any nesting; strings that look like numbers stay."""
+    spellings = {
+        "1": ["1", "1.0", "1e0", "0.1e1", "10E-1"],
+        "12500000000": ["12500000000", "1.25e10", "125E8"],
+        "-0.00000015": ["-1.5e-7", "-0.00000015", "-0.00000015000"],
+        "1234.5": ["1234.5", "1.2345e3", "1234.50"],
+        "0": ["0", "0.0", "0e0", "-0"],
+        "1" + "0" * 300: ["1e300"],
+    }
+    wrap = '{"b":[{"n":%s,"t":"1.0 \\\\\\" 2.0E5"},%s],"a":"x\\\\","c 1.0":{}}'
+    for plain, texts in spellings.items():
+        frame = spark.createDataFrame([(wrap % (t, t),) for t in texts], "value string")
+        (found,) = {r[0] for r in parse_documents(frame).select(canonical_json("doc")).collect()}
+        assert f'"n":{plain},' in found and '2.0E5"' in found and '"c 1.0":{}' in found
+        assert json.loads(found, parse_int=float) == json.loads(wrap % (texts[0], texts[0]), parse_int=float)
+        parts = parse_documents(frame).select(subdocument("doc", "b").alias("b")).distinct()
+        assert parts.count() == 1
+
+
+def test_malformed_documents_are_counted_and_kept_aside(spark):
+    frame = spark.createDataFrame([(1, '{"k":1}'), (2, '{"k":'), (3, None), (4, "")], "id int, value string")
+    seen = Observation()
+    docs = parse_documents(frame, lenient=True, observation=seen)
+    assert docs.where("doc IS NOT NULL").count() == 1
+    assert seen.get == {"documents": 4, "malformed": 2}
+    assert sorted(r.id for r in malformed_documents(frame).collect()) == [2, 4]
+
+
 def test_plans(spark, readings):
     """One shuffle of the rows per slice pass; copies of a key are thinned out before the shuffle."""
 
