@@ -9,6 +9,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeworks.sources.tables import filesystem
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (`spark.checkpoint.dir`).
@@ -19,13 +21,36 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(frame: DataFrame, name: str) -> DataFrame:
-    """`frame` written to the shared folder and read back: computed once, safe from lost executors."""
+#: Removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(frame: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """`frame` written to the shared folder and read back: computed once, safe from lost executors.
+
+    With `tidy` the shuffle files of the write go when it ends.
+    """
     spark, path = frame.sparkSession, shared_folder(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    if tidy:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables made by `saved` after their last reader has been written itself."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            fs, path = filesystem(spark, folder)
+            fs.delete(path, True)
+
+
 def fresh(columns: Iterable[str], name: str) -> str:
     """`name`, with underscores put before it until no column (in any case) is called so."""
     taken = {c.lower() for c in columns}

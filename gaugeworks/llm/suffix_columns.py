@@ -10,13 +10,15 @@ built by inserting one symbol per segment each round, from the last to the first
 read and written in sequence. Neighbouring suffixes with `length` bytes in common are repeats.
 
 An anchor with more different segments than a task should hold (copies of one passage in different
-surroundings) is dealt anew by longer anchors, at last by whole strings.
+surroundings) is dealt anew by longer anchors, at last by whole strings. Each table written on the way is
+deleted after its last reader; the found ranges stay, since the result is computed from them.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.pieces import chunks
-from gaugeworks.llm.shared import fresh, saved
+from gaugeworks.llm.shared import discard, fresh, saved
 
 #: Bytes of a repeated string; anchor lengths, each for what is too much for the one before.
 LENGTH, ANCHORS = 200, (80, 160, 192, 200)
 #: Most different segments of an anchor in one collection, segments of a collection, collections of a task.
 MOST_VARIANTS, COLLECTION, TOGETHER = 2000, 350, 8
+#: Width of the steps in which the place of an anchor in a string is told apart.
+STEP = 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _powers = {1: np.ones(1, "u8"), -1: np.ones(1, "u8")}
@@ -75,22 +79,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray, anchor: int, length: int) ->
     return starts, np.flatnonzero(closes) - starts + 1, mixed[where[starts]], where[starts]
 
 
-def may_share(segments: list[bytes], anchor: int, length: int) -> np.ndarray:
+def may_share(segments: list[bytes], spots: list[int], anchor: int, length: int) -> np.ndarray:
     """Which segments can have a string of `length` bytes in common with another one; no others need sorting.
 
-    Equal strings hold their anchor at one place, so of the bytes beside it half or more lie on its left or on
-    its right: segments that share a string agree in that half next to the anchor, on one side at least.
+    Equal strings hold their anchor at one place, `left` bytes after their start. For each step of `left` values
+    the bytes that all such strings hold around the anchor (`spots`) must agree.
     """
-    offsets = np.cumsum([0, *map(len, segments)])
-    starts, _, _, places = anchors(np.frombuffer(b"".join(segments), "u1"), offsets, anchor, length)
-    first = np.searchsorted(starts, offsets[:-1])  # a segment begins with a string, so with a run
-    half = (length - anchor + 1) // 2
+    spare = length - anchor
     groups: dict[tuple[int, bytes], list[int]] = {}
-    for i, (segment, at) in enumerate(zip(segments, (places[first] - offsets[:-1]).tolist(), strict=True)):
-        if at >= half:
-            groups.setdefault((0, segment[at - half : at + anchor]), []).append(i)
-        if at + anchor + half <= len(segment):
-            groups.setdefault((1, segment[at : at + anchor + half]), []).append(i)
+    for i, (segment, at) in enumerate(zip(segments, spots, strict=True)):
+        for left in range(0, min(spare, at) + 1, STEP):
+            end = at + anchor + max(0, spare - left - STEP + 1)
+            if end <= len(segment):
+                groups.setdefault((left, segment[at - left : end]), []).append(i)
     shared = np.zeros(len(segments), bool)
     for group in groups.values():
         if len(group) > 1:
@@ -181,8 +182,35 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
+def _columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), schema.types, strict=True)], schema=schema)
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, most)):
+        yield _columns(some, schema)
+
+
+def _texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(a, b, data, what is noted) of rows; of rows with one key that follow each other the first, since they are equal."""
+    last = None
+    for batch in batches:
+        for a, b, data, where in zip(*[batch.column(i) for i in range(4)], strict=True):
+            key = a.as_py(), b.as_py()
+            if key != last:
+                yield *key, data.as_py(), where.as_py()
+            last = key
+
+
+def _saved(frame: DataFrame, name: str) -> DataFrame:
+    return saved(frame, name, tidy=True)
+
+
 def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
-    """(a, b, low, high): strings low to high - 1 of text (a, b) start elsewhere too; texts: a, b, data, all different."""
+    """(a, b, ranges): strings low to high - 1 of text (a, b) start elsewhere too; texts: a, b, data, equal where a and b are.
+
+    Only keys and digests of segments are counted; bytes travel for one segment of each of the kinds to be sorted.
+    """
     anchor = ANCHORS[level] * length // LENGTH
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,52 +220,62 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
             data = np.frombuffer(column.buffers()[2] or b"", "u1")
             for first, last in chunks(ends):
                 offsets = ends[first : last + 1] - ends[first]
-                starts, counts, keys, _ = anchors(data[ends[first] : ends[last]], offsets, anchor, length)
+                starts, counts, keys, spots = anchors(data[ends[first] : ends[last]], offsets, anchor, length)
                 text = np.searchsorted(offsets, starts, side="right") - 1
                 which = pa.array(first + text)
-                columns = [a.take(which), b.take(which), pa.array((starts - offsets[text]).astype("i4")), pa.array(counts.astype("i4")), pa.array(keys.view("i8"))]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "at", "n", "anchor"])
+                numbers = [starts - offsets[text], counts, spots - starts]
+                columns = [a.take(which), b.take(which), *[pa.array(x.astype("i4")) for x in numbers], pa.array(keys.view("i8"))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "at", "n", "spot", "anchor"])
 
-    schema = "a bigint, b bigint, at int, n int, anchor bigint"
-    every = saved(texts.select("a", "b", "data").mapInArrow(found, schema), "anchors")
+    every = _saved(texts.select("a", "b", "data").mapInArrow(found, "a bigint, b bigint, at int, n int, spot int, anchor bigint"), "anchors")
     again = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
-    places = every.join(again, "anchor", "left_semi").groupBy("a", "b").agg(F.collect_list(F.struct("at", "n", "anchor")).alias("places"))
+    runs = F.collect_set(F.struct("at", "n", "spot", "anchor")).alias("runs")
+    places = every.join(again, "anchor", "left_semi").groupBy("a", "b").agg(runs, F.count("*").alias("rows"))
+    places = _saved(places.select("a", "b", F.struct("runs", F.expr("rows div size(runs)").alias("copies")).alias("places")), "places")
+    discard(every)
+
+    kinds = pa.schema([(c, pa.int64()) for c in ("a", "b", "s1", "s2", "times", "anchor")] + [("at", pa.list_(pa.int32())), ("n", pa.int32()), ("spot", pa.int32())])
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for a, b, data, where in _texts_with(batches):
+                same: dict[bytes, tuple] = {}
+                for place in where["runs"]:
+                    digest = xxhash.xxh3_128_digest(data[place["at"] : place["at"] + place["n"] + length - 1])
+                    same.setdefault(digest, (place["anchor"], [], place["n"], place["spot"]))[1].append(place["at"])
+                for digest, rest in same.items():
+                    yield a, b, *np.frombuffer(digest, "<i8").tolist(), len(rest[1]) * where["copies"], *rest
+
+        return _batches(rows(), kinds)
+
+    schema = "a bigint, b bigint, s1 bigint, s2 bigint, times bigint, anchor bigint, at array<int>, n int, spot int"
+    segments = _saved(texts.join(places, ["a", "b"]).select("a", "b", "data", "places").mapInArrow(digests, schema), "segments")
+    discard(places)
+    home = F.min(F.struct("a", "b", F.col("at")[0].alias("at"))).alias("home")
+    same = [F.first(c).alias(c) for c in ("anchor", "n", "spot")]
+    different = _saved(segments.groupBy("s1", "s2").agg(F.sum("times").alias("times"), home, *same), "different")
+    variants = different.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1")
+    fields = ["s1", "s2", "times", "anchor", "variants", "n", "spot"]
+    wanted = different.join(variants, "anchor").groupBy(F.col("home.a").alias("a"), F.col("home.b").alias("b"))
+    wanted = wanted.agg(F.collect_list(F.struct(F.col("home.at").alias("at"), *fields)).alias("wanted"))
+
+    wide = [("s1", pa.int64()), ("s2", pa.int64()), ("times", pa.int64()), ("anchor", pa.int64()), ("variants", pa.int64())]
+    cut_kinds = pa.schema([*wide, ("n", pa.int32()), ("spot", pa.int32()), ("data", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary()]
-        names = ["a", "b", "s1", "s2", "anchor", "at", "n", "data"]
-        for batch in batches:
-            for a, b, data, where in zip(*[batch.column(i) for i in range(4)], strict=True):
-                segments: dict[bytes, list] = {}
-                data = data.as_py()
-                for place in where.as_py():
-                    segment = data[place["at"] : place["at"] + place["n"] + length - 1]
-                    segments.setdefault(segment, [place["anchor"], place["n"], []])[2].append(place["at"])
-                rows = []
-                for segment, (key, n, at) in segments.items():
-                    digest = np.frombuffer(xxhash.xxh3_128_digest(segment), "<i8").tolist()
-                    rows.append((a.as_py(), b.as_py(), *digest, key, at, n, segment))
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
-                        rows = []
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
-
-    schema = "a bigint, b bigint, s1 bigint, s2 bigint, anchor bigint, at array<int>, n int, data binary"
-    segments = saved(texts.join(places, ["a", "b"]).select("a", "b", "data", "places").mapInArrow(cut, schema), "segments")
-    different = saved(
-        segments.groupBy("s1", "s2").agg(F.sum(F.size("at")).alias("times"), F.first("anchor").alias("anchor"), F.first("n").alias("n"), F.first("data").alias("data")),
-        "different",
-    )
-    variants = different.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1")
-    mixed = different.join(variants, "anchor")
-    copies = different.where("times > 1").select("s1", "s2", F.lit(0).alias("low"), F.col("n").alias("high"))
+        rows = ((*[w[f] for f in fields], data[w["at"] : w["at"] + w["n"] + length - 1]) for _, _, data, where in _texts_with(batches) for w in where)
+        return _batches(rows, cut_kinds)
+
+    schema = "s1 bigint, s2 bigint, times bigint, anchor bigint, variants bigint, n int, spot int, data binary"
+    mixed = _saved(texts.join(wanted, ["a", "b"]).select("a", "b", "data", "wanted").mapInArrow(cut, schema), "mixed")
+    copies = _saved(different.where("times > 1").select("s1", "s2", F.lit(0).alias("low"), F.col("n").alias("high")), "copies")
+    discard(different)
     collected = mixed.where(F.col("variants") <= MOST_VARIANTS) if level < len(ANCHORS) - 1 else mixed
     bins = max(1, -(-collected.count() // COLLECTION))
 
     def sort(table: pa.Table) -> pa.Table:
-        data = table.column("data").to_pylist()
-        table = table.filter(pa.array(may_share(data, anchor, length)))
+        shared = may_share(table.column("data").to_pylist(), table.column("spot").to_pylist(), anchor, length)
+        table = table.filter(pa.array(shared))
         flags = repeated_in_collection(table.column("data").to_pylist(), length)
         rows = [
             (s1, s2, low, high)
@@ -250,16 +288,22 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["s1", "s2", "low", "high"])
 
     place = F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin")
-    dealt = collected.select(place, "s1", "s2", "times", "data").repartition(-(-bins // TOGETHER), "bin")
+    dealt = collected.select(place, "s1", "s2", "times", "spot", "data").repartition(-(-bins // TOGETHER), "bin")
     marks = copies.union(dealt.groupBy("bin").applyInArrow(sort, "s1 bigint, s2 bigint, low int, high int"))
+    spent = [mixed, copies]
     if level < len(ANCHORS) - 1:
         crowded = mixed.where(F.col("variants") > MOST_VARIANTS)
         if not crowded.isEmpty():
-            deeper = _strings(saved(crowded.select(F.col("s1").alias("a"), F.col("s2").alias("b"), "data"), "crowded"), length, level + 1)
-            marks = marks.union(deeper)
-    marks = saved(marks, "marks")
+            deeper = _strings(crowded.select(F.col("s1").alias("a"), F.col("s2").alias("b"), "data"), length, level + 1)
+            marks = marks.union(deeper.select("a", "b", F.inline("ranges")))
+            spent.append(deeper)
+    marks = _saved(marks, "marks")
+    discard(*spent)
     placed = segments.select("a", "b", "s1", "s2", "at").join(marks, ["s1", "s2"]).select("a", "b", F.explode("at").alias("at"), "low", "high")
-    return placed.select("a", "b", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))
+    placed = placed.groupBy("a", "b").agg(F.collect_set(F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))).alias("ranges"))
+    placed = _saved(placed, "ranges")
+    discard(segments, marks)
+    return placed
 
 
 def remove_repeated_strings(documents: DataFrame, length: int = LENGTH, kept_as: str = "kept", spans_as: str = "spans") -> DataFrame:
@@ -267,15 +311,15 @@ def remove_repeated_strings(documents: DataFrame, length: int = LENGTH, kept_as:
 
     A byte of the UTF-8 text goes if a string of `length` bytes (at most 200) within its text that covers it
     also starts anywhere else in any row's text, itself included; spans are maximal. All is judged on the
-    input, so no copy stays. Null texts count as empty. Rows that share a doc_id or have none are texts of
-    their own, but rows equal in doc_id and text are one text: they do not repeat each other. Other columns
+    input, so no copy stays. Null texts count as empty. Every row is a text of its own, also where rows share a
+    doc_id, have none, or are equal in all: equal rows of 200 bytes and more remove each other. Other columns
     are unchanged; `kept_as` and `spans_as` must not be among them.
     """
     taken = [*documents.columns, kept_as, spans_as]
     a, b = fresh(taken, "text_a"), fresh([*taken, "text_a"], "text_b")
     left = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.xxhash64(F.coalesce("text", F.lit("")), F.col("doc_id").isNull())]
     texts = documents.where(F.octet_length("text") >= length).select(left[0].alias("a"), left[1].alias("b"), F.col("text").cast("binary").alias("data"))
-    found = _strings(texts, length).groupBy("a", "b").agg(F.collect_list(F.struct("low", "high")).alias(spans_as)).toDF(a, b, spans_as)
+    found = _strings(texts, length).toDF(a, b, spans_as)
     rows = documents.withColumn("text", F.col("text")).join(found, (left[0] == F.col(a)) & (left[1] == F.col(b)), "left")
 
     @F.arrow_udf("kept binary, spans array<struct<start:int,end:int>>")

@@ -195,10 +195,9 @@ def test_repeated_strings_in_collections():
 def test_repeated_strings(documents, monkeypatch, variants):
     monkeypatch.setattr(suffix_columns, "MOST_VARIANTS", variants)
     rows = suffix_columns.remove_repeated_strings(documents, 200, "kept_bytes", "gone").collect()
-    texts = {(r.doc_id, r.text): (r.text or "").encode() for r in rows}
-    times = collections.Counter(t[i : i + 200] for t in texts.values() for i in range(len(t) - 199))
-    for r in rows:
-        text = texts[r.doc_id, r.text]
+    texts = [(r.text or "").encode() for r in rows]
+    times = collections.Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    for r, text in zip(rows, texts, strict=True):
         edges = np.zeros(len(text) + 1, int)
         for i in range(len(text) - 199):
             if times[text[i : i + 200]] > 1:
@@ -210,6 +209,24 @@ def test_repeated_strings(documents, monkeypatch, variants):
     assert suffix_columns.remove_repeated_strings(empty(documents), 200, "k", "s").count() == 0
 
 
+def test_equal_rows_remove_each_other(spark):
+    text = " ".join(str(i * i) for i in range(90))
+    rows = spark.createDataFrame([(1, text), (1, text), (2, "short"), (3, text[:250] + "x" * 10 + text[260:])], "doc_id int, text string")
+    done = suffix_columns.remove_repeated_strings(rows).collect()
+    assert sorted((r.doc_id, len(r.kept)) for r in done) == [(1, 0), (1, 0), (2, 5), (3, len(text) - 250)]
+
+
+def test_no_string_is_lost_before_sorting():
+    pick = random.Random(5)
+    for _ in range(40):
+        middle = bytes(pick.choices(b"ab", k=80))
+        spots = [pick.randint(0, 120) for _ in range(30)]
+        segments = [bytes(pick.choices(b"ab", k=s, weights=[30, 1])) + middle + bytes(pick.choices(b"ab", k=pick.randint(120 - s, 120), weights=[30, 1])) for s in spots]
+        times = collections.Counter((t[i : i + 200], s - i) for t, s in zip(segments, spots) for i in range(min(s, len(t) - 200) + 1))
+        wanted = [any(times[t[i : i + 200], s - i] > 1 for i in range(min(s, len(t) - 200) + 1)) for t, s in zip(segments, spots)]
+        assert (suffix_columns.may_share(segments, spots, 80, 200) >= wanted).all()
+
+
 def test_simhash_components(documents):
     rows = simhash_tiles.near_duplicates(documents).collect()
     prints = np.array([r.fp for r in rows], "i8").view("u8")
