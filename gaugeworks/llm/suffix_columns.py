@@ -31,8 +31,8 @@ from gaugeworks.llm.shared import discard, fresh, saved
 
 #: Bytes of a repeated string; anchor lengths, each for what is too much for the one before.
 LENGTH, ANCHORS = 200, (80, 160, 192, 200)
-#: Most different segments of an anchor in one collection, segments of a collection, collections of a task.
-MOST_VARIANTS, COLLECTION, TOGETHER = 2000, 350, 8
+#: Most different segments of an anchor in one collection; segments dealt to a collection, of which `may_share` leaves few.
+MOST_VARIANTS, COLLECTION = 2000, 4000
 #: Width of the steps in which the place of an anchor in a string is told apart.
 STEP = 20
 
@@ -288,7 +288,7 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["s1", "s2", "low", "high"])
 
     place = F.pmod(F.xxhash64("anchor"), F.lit(bins)).alias("bin")
-    dealt = collected.select(place, "s1", "s2", "times", "spot", "data").repartition(-(-bins // TOGETHER), "bin")
+    dealt = collected.select(place, "s1", "s2", "times", "spot", "data").repartition(bins, "bin")
     marks = copies.union(dealt.groupBy("bin").applyInArrow(sort, "s1 bigint, s2 bigint, low int, high int"))
     spent = [mixed, copies]
     if level < len(ANCHORS) - 1:
