@@ -6,8 +6,9 @@ anchor, as segments: the text around all neighbouring strings that share an anch
 are dropped before any text moves, and equal segments are kept once with their number of occurrences.
 
 The segments of a task are one collection. Its Burrows-Wheeler transform and longest common prefixes are
-built by inserting one symbol per segment each round, from the last to the first, into two files that are
-read and written in sequence. Neighbouring suffixes with `length` bytes in common are repeats.
+built by inserting one symbol per segment each round, from the anchor leftwards, into two files that are
+read and written in sequence; what follows the anchors is sorted once and stands for the ends of the texts.
+Neighbouring suffixes with `length` bytes in common are repeats.
 
 An anchor with more different segments than a task should hold (copies of one passage in different
 surroundings) is dealt anew by longer anchors, at last by whole strings. Each table written on the way is
@@ -17,6 +18,7 @@ deleted after its last reader; the found ranges stay, since the result is comput
 from __future__ import annotations
 
 import os
+import struct
 from collections.abc import Iterator
 from itertools import islice
 
@@ -36,7 +38,7 @@ MOST_VARIANTS, COLLECTION = 2000, 4000
 #: Width of the steps in which the place of an anchor in a string is told apart.
 STEP = 20
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD, _HIGH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFF00000000)
 _powers = {1: np.ones(1, "u8"), -1: np.ones(1, "u8")}
 
 
@@ -61,13 +63,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, anchor: int, length: int) ->
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
-    least, where, span = mixed, np.arange(len(mixed), dtype="i4"), 1
+    least, span = (mixed & _HIGH) | np.arange(len(mixed), dtype="u8"), 1  # upper half of the hash, then the place
     while span < window:
         step = min(span, window - span)
-        later = least[step:] < least[:-step]
-        where = np.where(later, where[step:], where[:-step])
-        least = np.where(later, least[step:], least[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
+    where = (least & ~_HIGH).astype("i4")
     begin = np.arange(len(where))
     ends = np.repeat(offsets[1:], np.diff(offsets))[: len(where)]
     whole = begin + length <= ends
@@ -119,18 +120,42 @@ class _File:
         self.file.close()
 
 
-def repeated_in_collection(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, which of its strings of `length` (at most 255) bytes start elsewhere in the collection too."""
+def _sorted_ends(ends: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bytes that each has in common with the one before, `length` at most) of the texts' ends."""
+    order = np.array(sorted(range(len(ends)), key=ends.__getitem__), "i8")
+    sizes = np.minimum([len(e) for e in ends], length)
+    symbols = np.zeros((len(ends), int(sizes.max(initial=0)) + 1), "u1")
+    for row, end in zip(symbols, ends, strict=True):
+        row[: min(len(end), length)] = np.frombuffer(end[:length], "u1")
+    symbols, sizes = symbols[order], sizes[order]
+    common = np.zeros(len(ends), "u1")
+    unlike = symbols[1:] != symbols[:-1]
+    agree = np.where(unlike.any(axis=1), unlike.argmax(axis=1), length)
+    common[1:] = np.minimum(agree, np.minimum(sizes[1:], sizes[:-1]))
+    return order, common
+
+
+def repeated_in_collection(texts: list[bytes], length: int = LENGTH, spots: list[int] | None = None) -> list[np.ndarray]:
+    """For each text, which of its strings of `length` (at most 255) bytes start elsewhere in the collection too.
+
+    With `spots`, a place in each text, strings that start after it are not looked at, and those that reach past it
+    are equal only if they start equally far before it, as strings that hold an anchor there do. Columns are then
+    inserted from the spots to the left; what follows them is sorted whole.
+    """
     n = len(texts)
-    sizes = np.array([len(t) for t in texts])
-    longest = int(sizes.max(initial=0))
-    symbols = np.zeros((longest + 1, n), "u1")  # row j: j-th from the end, 0 past the beginning
-    for i, text in enumerate(texts):
-        symbols[: len(text), i] = np.frombuffer(text, "u1")[::-1] + 1
+    sizes = np.array([len(t) for t in texts], "i8")
+    spots = sizes if spots is None else np.array(spots, "i8")
+    longest = int(spots.max(initial=0))
+    symbols = np.zeros((longest + 1, n), "u1")  # row j: j-th from the spot, 0 past the beginning
+    for i, (text, spot) in enumerate(zip(texts, spots.tolist(), strict=True)):
+        symbols[:spot, i] = np.frombuffer(text, "u1")[:spot][::-1] + 1
+    order, ends = _sorted_ends([t[s:] for t, s in zip(texts, spots.tolist(), strict=True)], length)
+    first = np.empty(n, "i8")  # where the end of each text stands
+    first[order] = np.arange(n)
     transform, common = _File(), _File()
-    transform.write(symbols[0])
-    common.write(np.zeros(n, "u1"))
-    at, active = np.arange(n), np.arange(n)  # where the newest suffix of each text stands
+    transform.write(symbols[0, order])
+    common.write(ends)
+    at, active = first, np.arange(n)  # where the newest suffix of each text stands
     for j in range(1, longest + 1):
         before, lcp = transform.read(), common.read()
         more = symbols[j - 1, active] > 0
@@ -152,9 +177,9 @@ def repeated_in_collection(texts: list[bytes], length: int = LENGTH) -> list[np.
         paired = touched[touched > ended]
         paired = paired[before[order[paired]] == before[order[paired - 1]]]
         if len(paired):
-            begins, ends = order[paired - 1] + 1, order[paired] + 1
+            begins, stops = order[paired - 1] + 1, order[paired] + 1
             sequence = np.argsort(begins)
-            ranges = np.stack([begins[sequence], ends[sequence]], axis=1).ravel()
+            ranges = np.stack([begins[sequence], stops[sequence]], axis=1).ravel()
             least = np.minimum.reduceat(np.append(lcp, 0), ranges)[::2]
             prefixes[n + paired[sequence] - ended] = np.minimum(least, length - 1) + 1
         transform.write(merged)
@@ -165,16 +190,16 @@ def repeated_in_collection(texts: list[bytes], length: int = LENGTH) -> list[np.
     rank = np.empty(len(before), "i8")
     rank[np.argsort(before, kind="stable")] = np.arange(len(before))
     following = n + rank - np.count_nonzero(before == 0)
-    found = [np.zeros(max(0, size - length + 1), bool) for size in sizes.tolist()]
-    at, active = np.arange(n), np.arange(n)
-    for j in range(1, longest + 1):
-        more = sizes[active] >= j
-        at, active = following[at[more]], active[more]
-        if j >= length:
-            hit = (lcp[at] >= length) | (lcp[at + 1] >= length)
-            for i in active[hit].tolist():
-                found[i][sizes[i] - j] = True
-    return found
+    starts = np.append(0, np.cumsum(np.maximum(0, sizes - length + 1)))
+    found = np.zeros(starts[-1], bool)
+    at, active = first, np.arange(n)
+    for j in range(longest + 1):
+        if j:
+            more = spots[active] >= j
+            at, active = following[at[more]], active[more]
+        hit = active[(lcp[at] >= length) | (lcp[at + 1] >= length)]
+        found[starts[hit] + spots[hit] - j] = True
+    return [found[low:high] for low, high in zip(starts[:-1].tolist(), starts[1:].tolist())]
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -191,14 +216,22 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 2000) -> Iter
         yield _columns(some, schema)
 
 
+def _noted(column: pa.Array) -> tuple[list[int], list[np.ndarray]]:
+    """(bounds of the rows, the members one after another) of a list of structs without nulls in them; a null list is empty."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return [0, *np.cumsum(sizes).tolist()], [c.to_numpy(zero_copy_only=False) for c in column.flatten().flatten()]
+
+
 def _texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(a, b, data, what is noted) of rows; of rows with one key that follow each other the first, since they are equal."""
+    """(a, b, data, members of what is noted, other columns) of rows; of rows with one key that follow each other the first, since they are equal."""
     last = None
     for batch in batches:
-        for a, b, data, where in zip(*[batch.column(i) for i in range(4)], strict=True):
-            key = a.as_py(), b.as_py()
+        bounds, members = _noted(batch.column(3))
+        others = [c.to_pylist() for c in batch.columns[4:]]
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
             if key != last:
-                yield *key, data.as_py(), where.as_py()
+                noted = [m[bounds[i] : bounds[i + 1]].tolist() for m in members]
+                yield *key, batch.column(2)[i].as_py(), noted, *[c[i] for c in others]
             last = key
 
 
@@ -231,25 +264,25 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     again = every.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")
     runs = F.collect_set(F.struct("at", "n", "spot", "anchor")).alias("runs")
     places = every.join(again, "anchor", "left_semi").groupBy("a", "b").agg(runs, F.count("*").alias("rows"))
-    places = _saved(places.select("a", "b", F.struct("runs", F.expr("rows div size(runs)").alias("copies")).alias("places")), "places")
+    places = _saved(places.select("a", "b", "runs", F.expr("rows div size(runs)").alias("copies")), "places")
     discard(every)
 
     kinds = pa.schema([(c, pa.int64()) for c in ("a", "b", "s1", "s2", "times", "anchor")] + [("at", pa.list_(pa.int32())), ("n", pa.int32()), ("spot", pa.int32())])
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for a, b, data, where in _texts_with(batches):
+            for a, b, data, runs, copies in _texts_with(batches):
                 same: dict[bytes, tuple] = {}
-                for place in where["runs"]:
-                    digest = xxhash.xxh3_128_digest(data[place["at"] : place["at"] + place["n"] + length - 1])
-                    same.setdefault(digest, (place["anchor"], [], place["n"], place["spot"]))[1].append(place["at"])
+                for at, n, spot, key in zip(*runs, strict=True):
+                    digest = xxhash.xxh3_128_digest(data[at : at + n + length - 1])
+                    same.setdefault(digest, (key, [], n, spot))[1].append(at)
                 for digest, rest in same.items():
-                    yield a, b, *np.frombuffer(digest, "<i8").tolist(), len(rest[1]) * where["copies"], *rest
+                    yield a, b, *struct.unpack("<qq", digest), len(rest[1]) * copies, *rest
 
         return _batches(rows(), kinds)
 
     schema = "a bigint, b bigint, s1 bigint, s2 bigint, times bigint, anchor bigint, at array<int>, n int, spot int"
-    segments = _saved(texts.join(places, ["a", "b"]).select("a", "b", "data", "places").mapInArrow(digests, schema), "segments")
+    segments = _saved(texts.join(places, ["a", "b"]).select("a", "b", "data", "runs", "copies").mapInArrow(digests, schema), "segments")
     discard(places)
     home = F.min(F.struct("a", "b", F.col("at")[0].alias("at"))).alias("home")
     same = [F.first(c).alias(c) for c in ("anchor", "n", "spot")]
@@ -263,7 +296,7 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     cut_kinds = pa.schema([*wide, ("n", pa.int32()), ("spot", pa.int32()), ("data", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((*[w[f] for f in fields], data[w["at"] : w["at"] + w["n"] + length - 1]) for _, _, data, where in _texts_with(batches) for w in where)
+        rows = ((*w[1:], data[w[0] : w[0] + w[6] + length - 1]) for _, _, data, noted in _texts_with(batches) for w in zip(*noted, strict=True))
         return _batches(rows, cut_kinds)
 
     schema = "s1 bigint, s2 bigint, times bigint, anchor bigint, variants bigint, n int, spot int, data binary"
@@ -276,7 +309,7 @@ def _strings(texts: DataFrame, length: int, level: int = 0) -> DataFrame:
     def sort(table: pa.Table) -> pa.Table:
         shared = may_share(table.column("data").to_pylist(), table.column("spot").to_pylist(), anchor, length)
         table = table.filter(pa.array(shared))
-        flags = repeated_in_collection(table.column("data").to_pylist(), length)
+        flags = repeated_in_collection(table.column("data").to_pylist(), length, table.column("spot").to_pylist())
         rows = [
             (s1, s2, low, high)
             for s1, s2, times, flag in zip(*[table.column(c).to_pylist() for c in ("s1", "s2", "times")], flags, strict=True)
@@ -325,19 +358,22 @@ def remove_repeated_strings(documents: DataFrame, length: int = LENGTH, kept_as:
     @F.arrow_udf("kept binary, spans array<struct<start:int,end:int>>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, ranges in batches:
-            out = []
-            for text, marked in zip(texts, ranges, strict=True):
-                data, spans, parts, end = (text.as_py() or "").encode(), [], [], 0
-                for low, high in sorted((m["low"], m["high"] + length - 1) for m in marked.as_py() or ()):
-                    if spans and low <= spans[-1]["end"]:
-                        spans[-1]["end"] = max(spans[-1]["end"], high)
-                    else:
-                        spans.append({"start": low, "end": high})
-                for span in spans:
-                    parts.append(data[end : span["start"]])
-                    end = span["end"]
-                out.append({"kept": b"".join([*parts, data[end:]]), "spans": spans})
-            yield pa.array(out, pa.struct([("kept", pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]))
+            texts, (bounds, (lows, highs)) = texts.cast(pa.binary()), _noted(ranges)
+            out, starts, ends, sizes = [], [], [], [0]
+            for i, text in enumerate(texts):
+                data, low, high = text.as_py() or b"", lows[bounds[i] : bounds[i + 1]], highs[bounds[i] : bounds[i + 1]] + (length - 1)
+                if len(low):
+                    order = np.argsort(low)
+                    low, high = low[order], np.maximum.accumulate(high[order])
+                    opens = np.append(True, low[1:] > high[:-1])
+                    low, high = low[opens].tolist(), high[np.append(opens[1:], True)].tolist()
+                    starts += low
+                    ends += high
+                    data = b"".join([data[a:b] for a, b in zip([0, *high], [*low, len(data)], strict=True)])
+                out.append(data)
+                sizes.append(len(starts))
+            spans = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"])
+            yield pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), spans)], ["kept", "spans"])
 
     done = rows.withColumn(spans_as, cut(F.col("text"), F.col(spans_as)))
     return done.select(*documents.columns, F.col(spans_as)["kept"].alias(kept_as), F.col(spans_as)["spans"].alias(spans_as))

@@ -191,6 +191,23 @@ def test_repeated_strings_in_collections():
             assert [f.tolist() for f in suffix_columns.repeated_in_collection(texts, length)] == wanted
 
 
+def test_columns_left_of_the_anchor_only(monkeypatch):
+    """The same strings as by brute force, and no column is inserted for what stands right of the spots."""
+    pick, written = random.Random(6), []
+    write = suffix_columns._File.write
+    monkeypatch.setattr(suffix_columns._File, "write", lambda self, values: (written.append(len(values)), write(self, values)))
+    for alphabet in (b"ab", b"a\0c"):
+        for length in (13, 16, 20):
+            texts = [bytes(pick.choices(alphabet, k=pick.randint(0, 60), weights=[9] + [1] * (len(alphabet) - 1))) for _ in range(30)] * 2
+            spots = [pick.randint(0, min(12, len(t))) for t in texts]
+            places = [[(t[i : i + length], s - i) for i in range(min(s, len(t) - length) + 1)] for t, s in zip(texts, spots, strict=True)]
+            times = collections.Counter(p for some in places for p in some)
+            wanted = [[i for i, p in enumerate(some) if times[p] > 1] for some in places]
+            written.clear()
+            assert [np.flatnonzero(f).tolist() for f in suffix_columns.repeated_in_collection(texts, length, spots)] == wanted
+            assert max(written) == len(texts) + sum(spots)
+
+
 @pytest.mark.parametrize("variants", [2000, 2])
 def test_repeated_strings(documents, monkeypatch, variants):
     monkeypatch.setattr(suffix_columns, "MOST_VARIANTS", variants)
