@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.sources import tables
+from gaugeworks.sources.documents import few_listing_tasks
 
 ANY_AGE = "36500d"  # else files much older than the newest one seen are passed over
 
@@ -24,23 +25,23 @@ def ingest_available(
     repeated after a failure is known before anything is read and neither loses nor doubles a document.  Names
     that another load took are left out; only those between a batch's first and last name are looked at.
     """
-    documents = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .option("maxFileAge", ANY_AGE)
-        .load(landing)
-        .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("raw_data"))
-    )
-
-    query = (
-        documents.writeStream.foreachBatch(lambda batch, number: take(batch, number, raw_path, checkpoint))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with few_listing_tasks(spark):  # the stream lists in its own thread, by the session's setting, until it ends
+        documents = (
+            spark.readStream.format("text")
+            .option("wholetext", True)
+            .option("recursiveFileLookup", True)
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFileAge", ANY_AGE)
+            .load(landing)
+            .select(F.col("_metadata.file_path").alias("filename"), F.col("value").alias("raw_data"))
+        )
+        query = (
+            documents.writeStream.foreachBatch(lambda batch, number: take(batch, number, raw_path, checkpoint))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
 
 
 def take(batch: DataFrame, number: int, raw_path: str, stream: str) -> None:

@@ -240,6 +240,24 @@ def test_stream_takes_whole_documents_once(spark, tmp_path):
     assert len(rows) == 3 and {r.raw_data for r in rows} == {'{"a":\n 1}'}
 
 
+def test_folders_are_listed_in_few_tasks(spark, tmp_path):
+    """Each task of a listing answers the driver; there are no more of them than a few a core, and the setting is put back."""
+    landing, key = tmp_path / "landing", "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    for i in range(120):
+        (landing / f"d={i}").mkdir(parents=True)
+        (landing / f"d={i}" / "a.json").write_text("{}")
+    before = spark.conf.get(key)
+    tracker = spark.sparkContext.statusTracker()
+    earlier = max(tracker.getJobIdsForGroup(), default=-1)
+    assert documents.list_files(spark, str(landing)).count() == documents.scan_documents(spark, str(landing)).count() == 120
+    ingest_available(spark, str(landing), str(tmp_path / "raw"), str(tmp_path / "checkpoint"))
+    assert tables.read(spark, str(tmp_path / "raw")).count() == 120
+    jobs = [j for j in tracker.getJobIdsForGroup() if j > earlier]
+    stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before
+
+
 def test_frames_start_no_job_and_agree_for_every_base(spark):
     """Wall clock of a zoned column, also where the clock goes back."""
     zone = spark.conf.get("spark.sql.session.timeZone")
