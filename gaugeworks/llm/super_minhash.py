@@ -10,8 +10,8 @@ Documents of equal sets are one node. Nodes that share a band meet in a bucket:
 1. every node is compared on its full set with one leader that it meets most often; links form components;
 2. in buckets that still hold several components, nodes of different ones are compared by sizes and signatures;
    a bucket reports a spanning forest of the pairs that these do not rule out, and forests form families;
-3. in a family, nodes of different components are compared on full sets, and a spanning forest of the links
-   joins the components.
+3. in a family, nodes of different components are compared on full sets, and a spanning forest of the linked
+   components joins them.
 
 Buckets and families are compared in pairs of tiles, and only forests leave a task, so no group of copies
 brings forth all its pairs. A component that fills tiles of its own is not compared within itself.
@@ -198,15 +198,18 @@ def forest(near: Iterator[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray)
     return nodes[hung], nodes[tree[hung]]
 
 
-def _forests(pairs: DataFrame, near: Callable) -> DataFrame:
-    """(u, v): the forests of pairs of tiles, whose near nodes `near` gives from the columns of either tile."""
+def _forests(pairs: DataFrame, near: Callable, tied: int = 0) -> DataFrame:
+    """(u, v): the forests of pairs of tiles, whose near nodes `near` gives from the columns of either tile.
+
+    A forest ties what stands in the column of number `tied`: nodes, or their components.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             half = batch.num_columns // 2
             for row in range(batch.num_rows):
                 a, b = ([c[row].values for c in columns] for columns in (batch.columns[:half], batch.columns[half:]))
-                u, v = forest(near(a, b), a[0].to_numpy(), b[0].to_numpy())
+                u, v = forest(near(a, b), a[tied].to_numpy(), b[tied].to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return pairs.mapInArrow(found, "u bigint, v bigint")
@@ -229,7 +232,7 @@ def weak_pairs(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def family_links(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(u, v): forests of the links between nodes (family, node, comp, n, members) of one family and different components."""
+    """(u, v): forests of the components that links join, of nodes (family, node, comp, n, members) of one family and different components."""
 
     def near(a: list[pa.Array], b: list[pa.Array]) -> Iterator[tuple[int, np.ndarray]]:
         (comps, sizes), (others, other_sizes) = ([x.to_numpy() for x in t[1:3]] for t in (a, b))
@@ -245,7 +248,7 @@ def family_links(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
             shared = np.bincount(owner[at], minlength=len(sets))
             yield i, np.flatnonzero((comps[i] != others) & (100 * shared >= percent * (sizes[i] + other_sizes - shared)))
 
-    return _forests(tile_pairs(nodes, "family", F.col("n"), FAMILY_TILE, ["node", "comp", "n", "members"]), near)
+    return _forests(tile_pairs(nodes, "family", F.col("n"), FAMILY_TILE, ["node", "comp", "n", "members"]), near, tied=1).distinct()
 
 
 def sets_of(nodes: DataFrame, documents: DataFrame, shingle: int) -> DataFrame:
@@ -310,8 +313,9 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     families = connected_components(weak_pairs(left, percent)).toDF("node", "family")
     within = families.join(left.select("node", "comp", "n"), "node").join(sets, "node")
     second = saved(family_links(within, percent), "links")
-    roots = connected_components(first.union(second))
-    rooted = nodes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
+    joined = connected_components(second).toDF("comp", "joined")
+    comps = nodes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("comp"))
+    rooted = comps.join(joined, "comp", "left").select("digest", "first", F.coalesce("joined", "comp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     components = spread_join(rooted, least, "root", "digest").select("digest", F.col("least.doc_id").alias("component_id"))
     empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

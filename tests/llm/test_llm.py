@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import itertools
 import random
 import struct
 import zlib
@@ -271,6 +272,36 @@ def test_simhash_bits():
     assert simhash_tiles.simhash(" \n") == 0 and simhash_tiles.simhash("One") == xxhash.xxh64_intdigest(b"one", seed=42)
 
 
+def stages(spark, group, action):
+    """How many stages the jobs of `action` have."""
+    context = spark.sparkContext
+    context.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    tracker = context.statusTracker()
+    return sum(len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup(group))
+
+
+def test_components_take_few_stages(spark):
+    """Trees of pointers, a path up and down, and a node of many smaller ones."""
+    edges = [(i, i // 2) for i in range(2, 200)] + [(1000 + i, 1000 + (i * 37) % 101) for i in range(1, 101)]
+    path = [3000, 2000, 3001, 2001, 3002, 2002, 3003, 2003]
+    edges += [*itertools.pairwise(path), *[(5000, 4000 + i) for i in range(300)], (7, 7)]
+    table = spark.createDataFrame(edges, "u bigint, v bigint")
+    found = {}
+    assert stages(spark, "components", lambda: found.update({r.node: r.root for r in connected_components(table).collect()})) < 75
+    graph = {}
+    for u, v in edges:
+        a, b = graph.setdefault(u, {u}), graph.setdefault(v, {v})
+        if a is not b:
+            a |= b
+            graph |= dict.fromkeys(a, a)
+    assert found == {node: min(group) for node, group in graph.items()}
+
+
 def test_components(spark):
     pick = random.Random(4)
     edges = [(pick.randint(0, 60), pick.randint(0, 60)) for _ in range(40)] + [(100 + i, 101 + i) for i in range(40)]
