@@ -21,6 +21,8 @@ from gaugeworks.llm.library_tokens import id_type, library_ids, library_memo
 from gaugeworks.llm.pieces import gather
 from gaugeworks.llm.shared import saved
 
+#: Documents that are encoded at once: texts and ids of a batch are held several times over, in the JVM and in the worker.
+BATCH_ROWS = 1000
 #: Documents of a shard; terms of a seed's query, those of most weight in it; BM25's constants.
 SHARD_DOCUMENTS, QUERY_TERMS, K1, B = 2048, 32, 1.2, 0.75
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -51,7 +53,8 @@ def pack_documents(documents: DataFrame, tokenizer: str, end_id: int, window: in
             )
 
     ids = library_ids(F.col("text"), tokenizer, end_id)
-    cuts = saved(documents.select(F.col("doc_id").cast("long").alias("doc_id"), cut(ids).alias("cut")).select("doc_id", "cut.*"), "packing")
+    cuts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), cut(ids).alias("cut")).select("doc_id", "cut.*")
+    cuts = saved(cuts, "packing", batch_rows=BATCH_ROWS)
     frequencies = np.zeros(size, "i8")
     for row in _document_frequencies(cuts, kind).collect():  # as many rows as the vocabulary at most
         frequencies[row.id] = row.n

@@ -82,6 +82,7 @@ def library_ids(text: Column, path: str, end_id: int) -> Column:
         end = np.array([end_id], dtype=kind).tobytes()
         for batch in batches:
             yield pa.array([found.astype(kind).tobytes() + end for found in memo.encode(batch)], type=pa.large_binary()).cast(pa.binary())
+            pa.default_memory_pool().release_unused()
 
     return ids(text)
 

@@ -23,22 +23,28 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 #: Removes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that Spark hands to a Python function at once.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def saved(frame: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+def saved(frame: DataFrame, name: str, tidy: bool = False, batch_rows: int | None = None) -> DataFrame:
     """`frame` written to the shared folder and read back: computed once, safe from lost executors.
 
-    With `tidy` the shuffle files of the write go when it ends.
+    With `tidy` the shuffle files of the write go when it ends. With `batch_rows` Python functions get at most so many
+    rows at once: a batch is held in the executor's JVM and in the worker, as Arrow and as Python objects.
     """
     spark, path = frame.sparkSession, shared_folder(frame.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, None)
-    if tidy:
-        spark.conf.set(_CLEANUP, "true")
+    wanted = {_CLEANUP: "true"} if tidy else {}
+    if batch_rows and not 0 < int(spark.conf.get(_BATCH)) <= batch_rows:
+        wanted[_BATCH] = str(batch_rows)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         frame.write.option("compression", "zstd").parquet(path)
     finally:
-        if tidy:
-            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(frame.schema).parquet(path)
 
 

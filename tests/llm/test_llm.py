@@ -6,6 +6,7 @@ import itertools
 import random
 import struct
 import zlib
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
@@ -88,6 +89,26 @@ def test_variable_length_code():
     assert len(control) == 3 and token_files.unpack(control, data, np.array([9])).tolist() == numbers.tolist()
 
 
+def test_packing_encodes_small_batches(spark, monkeypatch):
+    """A batch is held several times over in an executor, so its documents are bounded."""
+    most = bm25_packing.BATCH_ROWS
+
+    def ids(text, path, end_id):
+        @F.arrow_udf("binary")
+        def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                assert len(batch) <= most
+                yield pa.array([b"\1\0"] * len(batch), pa.binary())
+
+        return found(text)
+
+    monkeypatch.setattr(bm25_packing, "library_ids", ids)
+    rows = spark.range(0, 2 * most + 5, 1, 1).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert bm25_packing.pack_documents(rows, queries.BYTE_BPE, 0).count() == 2 * most + 5
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_packing(documents, library):
     rows = bm25_packing.pack_documents(documents, queries.BYTE_BPE, 0).collect()
     by, sequences = collections.defaultdict(list), collections.defaultdict(list)
