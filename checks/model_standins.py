@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.standins import RAW_READINGS, RAW_TEXTS, SQL_CLASS, table
+from checks.standins import RAW_READINGS, RAW_TEXTS, SQL_CLASS, dealt, table
 from gaugeworks.plans.decimals import DECIMAL_PATHS
 from gaugeworks.plans.measurements import NUMERIC_PATHS
 from gaugeworks.plans.stations import EXISTING, REVOKED
@@ -41,7 +41,7 @@ RECORD = """named_struct('StationId', station_id, 'StationName', station_name,
 def snapshots(spark: SparkSession, sf_dir: str, column: str = "value") -> DataFrame:
     """A document for each event, and ``measure_at`` beside it; the record is under one of two keys."""
     at = F.expr("CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, hour(ts), CAST(10 * floor(minute(ts) / 10) AS INT))")
-    events = table(spark, sf_dir, "events").select(
+    events = dealt(table(spark, sf_dir, "events")).select(
         "event_id",
         "event_type",
         at.alias("measure_at"),

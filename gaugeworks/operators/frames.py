@@ -64,9 +64,13 @@ class Partial:
     def of_rows(self) -> str:
         return f"{self.kind}(`{self.column}`)"
 
+    @property
+    def merge(self) -> str:
+        return "max" if self.kind == "max" else "sum"
+
     @property
     def of_states(self) -> str:
-        return f"{'max' if self.kind == 'max' else 'sum'}(`{self.state}`)"
+        return f"{self.merge}(`{self.state}`)"
 
     def combined(self, parts: Sequence[str], name: str) -> str:
         listed = ", ".join(f"`{p}`" for p in parts)
@@ -103,13 +107,15 @@ def forward_frames(
         if f.column in other:
             f = replace(f, column=f"__double_{f.column}")
         by_slice.setdefault(next(u for u in reversed(allowed) if interval.divided_by(u)), []).append(f)
+    given = framed
     for slice_, some in by_slice.items():
-        framed = _one_pass(framed, some, ts, partition_by, slice_)
+        framed = _one_pass(framed, given, some, ts, partition_by, slice_)
     values = [round2(f.name).alias(f.name) if rounded else F.col(f"`{f.name}`") for f in frames]
     return framed.select(*[f"`{c}`" for c in columns], *values)
 
 
-def _one_pass(df: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Sequence[str], base: str) -> DataFrame:
+def _one_pass(df: DataFrame, given: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Sequence[str], base: str) -> DataFrame:
+    """``df`` with the frames of one slice width.  ``given`` has the same rows before any pass: whole slices are summed from it."""
     roles = {text: j for j, text in enumerate(dict.fromkeys(f.interval for f in frames), start=1)}
     by_role = {
         j: (Interval.parse(text), sorted({Partial(k, f.column) for f in frames if f.interval == text for k in PARTIALS[f.func]}))
@@ -120,11 +126,12 @@ def _one_pass(df: DataFrame, frames: Sequence[Frame], ts: str, partition_by: Seq
     # The row itself travels as one struct: sorts and window buffers then copy it as a block.
     packed = f"named_struct({', '.join(f"'{c}', `{c}`" for c in df.columns)}) AS __row"
     start = f"{truncate_sql(base, f'`{ts}`')} AS __slice"
-    rows = df.selectExpr(packed, *[f"`{v}`" for v in values], *key_columns, f"CAST(`{ts}` AS TIMESTAMP_NTZ) AS __at", start)
-    between = _between(rows, keys, LEVELS[LEVELS.index(base) :], by_role)
+    placed = [*[f"`{v}`" for v in values], *key_columns, f"CAST(`{ts}` AS TIMESTAMP_NTZ) AS __at", start]
+    rows = df.selectExpr(packed, *placed)
+    between = _between(given.selectExpr(*placed), keys, LEVELS[LEVELS.index(base) :], by_role)
     parts = _within_slices(rows, values, keys, by_role)
     if between is not None:
-        parts = parts.join(between, [*keys, "__slice"], "left")
+        parts = parts.join(between, ["__slice", *keys], "left")
     available = set(parts.columns)
 
     def total(p: Partial, j: int) -> str:
@@ -175,17 +182,20 @@ STRICTLY_BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def _closing_states(placed: DataFrame, parts: list[str], by_role: dict, running: dict, order: str, frame: str) -> DataFrame:
-    """Own rows only, each with the running aggregates of every other role up to its depth, as structs.
+    """Own rows only, each with how far the running aggregates of every other role have got at its depth.
 
-    First every role runs along its own rows, then each own row looks up where the others have got to.
-    One shuffle serves both.
+    Each role has its own copy of the values, empty in the rows of other roles, so one sort and one window do.
+    ``running`` has the function and the column of each partial.
     """
-    states = ", ".join(f"'{p.state}', {call} {_over([*parts, '__role'], '__depth', UP_TO_PEERS)}" for p, call in running.items())
-    stated = placed.repartition(*parts).selectExpr("*", f"named_struct({states}) AS __reached")
-    by_role_states = [f"CASE WHEN __role = {j} THEN __reached END AS __reached{j}" for j in by_role]
-    looked_up = [f"last(__reached{j}, true) {_over(parts, order, frame)} AS __closing{j}" for j in by_role]
+    columns = {j: sorted({running[p][1] for p in wanted}) for j, (_, wanted) in by_role.items()}
+    of_role = [f"CASE WHEN __role = {j} THEN `{c}` END AS `__of{j}{c}`" for j, some in columns.items() for c in some]
+    reached = [
+        f"{running[p][0]}(`__of{j}{running[p][1]}`) {_over(parts, order, frame)} AS `{p.named('closing', j)}`"
+        for j, (_, wanted) in by_role.items()
+        for p in wanted
+    ]
     rest = [f"`{c}`" for c in placed.columns]
-    return stated.selectExpr(*rest, *by_role_states).selectExpr(*rest, *looked_up).where(f"__role = {OWN}")
+    return placed.repartition(*parts).selectExpr(*rest, *of_role).selectExpr(*rest, *reached).where(f"__role = {OWN}")
 
 
 def _within_slices(rows: DataFrame, values: Sequence[str], keys: list[str], by_role: dict) -> DataFrame:
@@ -199,11 +209,9 @@ def _within_slices(rows: DataFrame, values: Sequence[str], keys: list[str], by_r
         "__in.role AS __role",
         "__in.slice AS __slice",
     )
-    parts = [*keys, "__slice"]
-    own_rows = _closing_states(placed, parts, by_role, {p: p.of_rows for p in partials}, "__depth", UP_TO_PEERS)
-    tails = [
-        f"__closing{j}.`{p.state}` AS `{p.named('tail', j)}`" for j, (_, wanted) in by_role.items() for p in wanted
-    ]
+    parts = ["__slice", *keys]  # a slice is told apart by the eight bytes that sorts look at first, ids often are not
+    own_rows = _closing_states(placed, parts, by_role, {p: (p.kind, p.column) for p in partials}, "__depth", UP_TO_PEERS)
+    tails = [f"`{p.named('closing', j)}` AS `{p.named('tail', j)}`" for j, (_, wanted) in by_role.items() for p in wanted]
     heads = [f"{p.of_rows} {_over(parts, '__depth DESC', UP_TO_PEERS)} AS `{p.named('head', OWN)}`" for p in partials]
     headed = own_rows.selectExpr("*", *heads)
     return headed.selectExpr("__row", *parts, *[f"`{p.named('head', OWN)}`" for p in partials], *tails)
@@ -272,14 +280,12 @@ def _within_parents(slices: DataFrame, keys: list[str], levels: Sequence[str], b
         "__in.role AS __role",
         "__in.slice AS __parent",
     )
-    parts = [*keys, "__parent"]
+    parts = ["__parent", *keys]
     # The own slice sorts before the slices that close a frame at the same depth, so they stay out.
-    own = _closing_states(placed, parts, by_role, {p: p.of_states for p in partials}, "__depth, __role", STRICTLY_BEFORE)
+    own = _closing_states(placed, parts, by_role, {p: (p.merge, p.state) for p in partials}, "__depth, __role", STRICTLY_BEFORE)
     after = _over(parts, "__depth DESC", STRICTLY_BEFORE)
     own = own.selectExpr("*", *[f"{p.of_states} {after} AS `{p.named('after', OWN)}`" for p in partials])
-    tails = [
-        f"__closing{j}.`{p.state}` AS `{p.named('before', j)}`" for j, (_, wanted) in by_role.items() for p in wanted
-    ]
+    tails = [f"`{p.named('closing', j)}` AS `{p.named('before', j)}`" for j, (_, wanted) in by_role.items() for p in wanted]
     own = own.selectExpr("*", *tails)
     if spanning:
         states = [F.expr(p.of_states).alias(p.state) for p in partials]

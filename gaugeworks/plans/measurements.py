@@ -66,7 +66,7 @@ def measurements(documents: DataFrame, column: str = "value", lenient: bool = Fa
         classify_station("station_id").alias("station_type"),
         "measure_at",
     )
-    keys = ["station_id", "measure_at"]
+    keys = ["measure_at", "station_id"]  # sorts compare instants sooner than ids that begin alike
     return keep_first(cleaned, keys, [F.col(c).asc_nulls_last() for c in cleaned.columns if c not in keys])  # a reading before none
 
 

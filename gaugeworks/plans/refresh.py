@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,20 @@ from gaugeworks.plans import decimals, measurements, stations
 from gaugeworks.sources import tables
 
 
+HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def _compiled(spark: SparkSession) -> Iterator[None]:
+    """Plans with a generated method of over 8,000 bytes, which the JVM would never compile, run on split projections."""
+    before = spark.conf.get(HUGE_METHOD)
+    spark.conf.set(HUGE_METHOD, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
+
+
 def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
     """Written once and read back: what several branches read is then parsed and shuffled only once."""
     path = f"{root}/staged/{name}-{uuid.uuid4().hex}"
@@ -24,6 +40,11 @@ def refresh_measurements(spark: SparkSession, documents: DataFrame, root: str, f
 
     The mark is applied before the forward aggregates are computed, see ``append_past_mark``.
     """
+    with _compiled(spark):
+        _refresh_measurements(spark, documents, root, full)
+
+
+def _refresh_measurements(spark: SparkSession, documents: DataFrame, root: str, full: bool) -> None:
     bank_path = f"{root}/aggregated_measurements"
     target = None if full else tables.read(spark, bank_path)
     new = _staged(past_mark(measurements.measurements(documents), target, "measure_at"), root, "measurements")

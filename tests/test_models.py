@@ -5,7 +5,9 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from checks import model_standins
 from gaugeworks.plans import decimals, measurements, refresh, stations
 from gaugeworks.sources import tables
 
@@ -213,6 +215,27 @@ def test_decimal_models(spark, tmp_path):
     assert names == ["466920", "C0A520", "N"]
 
 
+def test_refresh_measurements_runs_no_method_too_long_to_compile(spark, tmp_path, monkeypatch):
+    limit, seen, append = "spark.sql.codegen.hugeMethodLimit", [], tables.append
+    before = spark.conf.get(limit)
+    monkeypatch.setattr(tables, "append", lambda df, path: (seen.append(spark.conf.get(limit)), append(df, path)))
+    refresh.refresh_measurements(spark, documents(spark, [snapshot(record("466920"))]), str(tmp_path))
+    assert set(seen) == {"8000"} and spark.conf.get(limit) == before
+    monkeypatch.setattr(tables, "append", lambda df, path: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh.refresh_measurements(spark, documents(spark, [snapshot(record("466920"))]), str(tmp_path / "again"))
+    assert spark.conf.get(limit) == before
+
+
+def test_snapshots_of_one_small_file_go_to_all_cores(spark, tmp_path):
+    event = (0, dt.datetime(2024, 1, 1), 1, "view", 2.0, "{}")
+    events = spark.createDataFrame([event] * 100, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = model_standins.snapshots(spark, str(tmp_path))
+    assert found.count() == 100
+    assert found.select(F.spark_partition_id()).distinct().count() > spark.sparkContext.defaultParallelism
+
+
 def test_refresh_measurements_truncates_until_full(spark, tmp_path):
     def at(minutes):
         stamp = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minutes)

@@ -180,6 +180,24 @@ def test_plans(spark, readings):
     assert "BroadcastNestedLoopJoin" not in plan(not_in(readings, "station", readings, "station"))
 
 
+def test_bank_sorts_twice_a_pass_and_sums_slices_of_the_given_rows(spark, readings):
+    """No pass is repeated under the sums of whole slices, and the running aggregates of all roles share a sort."""
+    frames = [Frame(f"{f}|{i}", f, "v", i) for i in ("1 hour", "1 day", "1 month") for f in ("avg", "max")]
+    bank = forward_frames(readings, frames, "ts", ["station"])
+    plan = bank._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2  # rows under their roles, once a pass
+    assert plan.count("Window [") == 5  # closing states and heads of two passes, and the sums of days
+
+
+def test_round2_equals_the_decimal_rule_and_spares_decimals(spark):
+    odd = [0.0, -0.0, -0.004, 1.005, 2.675, -1.125, 0.0049995, 9999999.995, 1e7, -3e31, 1e32, 1e300, float("inf"), float("nan"), None]
+    odd += [(n + 0.5) / 100 + d for n in range(-3000, 3000, 7) for d in (-1.1e-6, -6e-7, -4e-7, 0.0, 4e-7, 6e-7, 1.1e-6)]
+    values = spark.createDataFrame([(v,) for v in odd], "x double")
+    decimals = F.expr("coalesce(CAST(round(TRY_CAST(x AS DECIMAL(38, 6)), 2) AS DOUBLE), x)")
+    assert values.where(~round2("x").eqNullSafe(decimals)).isEmpty()
+    assert round2("x")._jc.toString().startswith("CASE WHEN")
+
+
 def test_mark_reaches_the_scan(spark, readings, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(readings, path)
